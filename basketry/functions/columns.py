@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
 
@@ -62,24 +62,39 @@ def bin_number(col: Column, lo: float, hi: float, bins: int) -> Column:
     return F.least(raw, F.lit(bins - 1))
 
 
+# Up to this length arithmetic over an array is written out term by term, which compiles into one
+# generated loop body; longer arrays use a higher-order function, whose plan stays small.
+UNROLLED_DIMS = 16
+
+
+def _fold(vec: Column, point: Sequence[float], term: Callable[[Column, Column], Column]) -> Column:
+    if len(point) <= UNROLLED_DIMS:
+        return reduce(add, [term(vec[i], F.lit(float(p))) for i, p in enumerate(point)])
+    terms = F.zip_with(vec, F.lit([float(p) for p in point]), term)
+    return F.aggregate(terms, F.lit(0.0), lambda total, x: total + x)
+
+
 def squared_distance(vec: Column, point: Sequence[float]) -> Column:
-    """Squared Euclidean distance from an array column to a fixed point, as plain arithmetic."""
-    return reduce(add, [(vec[i] - F.lit(float(p))) * (vec[i] - F.lit(float(p))) for i, p in enumerate(point)])
+    """Squared Euclidean distance from an array column to a fixed point."""
+    return _fold(vec, point, lambda x, p: (x - p) * (x - p))
 
 
 def manhattan_distance(vec: Column, point: Sequence[float]) -> Column:
-    return reduce(add, [F.abs(vec[i] - F.lit(float(p))) for i, p in enumerate(point)])
+    return _fold(vec, point, lambda x, p: F.abs(x - p))
 
 
 def dot(vec: Column, weights: Sequence[float]) -> Column:
-    return reduce(add, [vec[i] * F.lit(float(w)) for i, w in enumerate(weights)])
+    return _fold(vec, weights, lambda x, w: x * w)
+
+
+def squared_norm(vec: Column) -> Column:
+    return F.aggregate(vec, F.lit(0.0), lambda total, x: total + x * x)
 
 
-def majority(votes: Sequence[Column]) -> Column:
-    """The most frequent vote of one row; a tie goes to the smallest label."""
-    ballots = F.array(*votes)
-    tally = [
-        F.struct(reduce(add, [(v == o).cast("int") for o in votes]).alias("n"), (-v).alias("low"))
-        for v in votes
-    ]
-    return F.when(F.size(ballots) > 0, -F.array_max(F.array(*tally))["low"])
+def majority(votes: Column) -> Column:
+    """The most frequent element of an array column; a tie goes to the smallest."""
+    tally = F.transform(
+        F.array_distinct(votes),
+        lambda v: F.struct(F.size(F.filter(votes, lambda o: o == v)).alias("n"), (-v).alias("low")),
+    )
+    return -F.array_max(tally)["low"]

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
+from math import isnan
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -118,25 +120,17 @@ def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (``a``, ``b``, ``r``) from one aggregate; a
-    constant column gives null."""
-    pairs = list(combinations(range(len(columns)), 2))
-    x = [F.col(c).cast("double") for c in columns]
-    moments = df.agg(
-        *[F.stddev_samp(v).alias(f"s_{i}") for i, v in enumerate(x)],
-        *[F.covar_samp(x[i], x[j]).alias(f"c_{i}_{j}") for i, j in pairs],
-    )
-    return rows_of(
-        moments,
-        [
-            F.struct(
-                F.lit(columns[i]).alias("a"),
-                F.lit(columns[j]).alias("b"),
-                F.try_divide(F.col(f"c_{i}_{j}"), F.col(f"s_{i}") * F.col(f"s_{j}")).alias("r"),
-            )
-            for i, j in pairs
-        ],
+    """Pearson correlation of every column pair (``a``, ``b``, ``r``) over the rows without nulls,
+    in one distributed pass; a constant column gives null."""
+    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(
+        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     )
+    matrix = Correlation.corr(vectors, "features").first()[0].toArray()
+    rows = [
+        (columns[i], columns[j], None if isnan(matrix[i, j]) else float(matrix[i, j]))
+        for i, j in combinations(range(len(columns)), 2)
+    ]
+    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
