@@ -73,5 +73,6 @@ def tidy(df: DataFrame, digits: int = 4, **by_column: int) -> DataFrame:
     for field in df.schema.fields:
         if isinstance(field.dataType, T.DoubleType):
             d = by_column.get(field.name, digits)
-            rounded[field.name] = F.round(F.col(field.name) + F.lit(10.0 ** -(d + 3)), d)
+            shifted = F.col(field.name) + F.lit(10.0 ** -(d + 3))
+            rounded[field.name] = F.rint(shifted * F.lit(10.0**d)) / F.lit(10.0**d) + F.lit(0.0)
     return df.withColumns(rounded) if rounded else df

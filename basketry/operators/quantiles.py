@@ -101,30 +101,54 @@ def exact_quantiles(
 
 
 def _groups_in_brackets(values: DataFrame, targets: list[_Target]):
-    """One pass: rows below each bracket (null value) and the value groups inside it."""
+    """One pass: for each target the rows below its bracket and the value groups inside it.
+
+    Overlapping brackets of a column are merged, so a row adds one group entry per column: its
+    value inside a bracket, only the number of the gap it lies in outside.
+    """
     marks = []
-    for i, t in enumerate(targets):
-        x = F.col(t.column)
+    columns = list(dict.fromkeys(t.column for t in targets))
+    for at, c in enumerate(columns):
+        x = F.col(c)
+        gap = F.when(x.isNull(), F.lit(None).cast("int"))
+        inside = F.lit(False)
+        spans = _merged([(t.lo, t.hi) for t in targets if t.column == c])
+        for i, (lo, hi) in enumerate(spans):
+            gap = gap.when(x <= F.lit(hi), F.lit(i))
+            inside = inside | x.between(F.lit(lo), F.lit(hi))
         marks.append(
-            F.when(
-                x <= F.lit(t.hi),
-                F.struct(F.lit(i).alias("target"), F.when(x >= F.lit(t.lo), x).alias("value")),
-            )
+            F.struct(F.lit(at).alias("column"), gap.alias("gap"), F.when(inside, x).alias("value"))
         )
     counted = (
-        values.select(F.explode(F.array_compact(F.array(*marks))).alias("m"))
-        .groupBy("m.target", "m.value")
+        values.select(F.inline(F.array(*marks)))
+        .where(F.col("gap").isNotNull())
+        .groupBy("column", "gap", "value")
         .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
     )
     groups: dict[int, tuple[int, list[tuple[float, int]]]] = {}
-    for target, value, n in counted.collect():
-        below, inside = groups.get(target, (0, []))
-        if value is None:
-            groups[target] = (n, inside)
+    for i, t in enumerate(targets):
+        mine = [r for r in counted if r["column"] == columns.index(t.column)]
+        spans = _merged([(u.lo, u.hi) for u in targets if u.column == t.column])
+        gap = next(g for g, (lo, hi) in enumerate(spans) if lo <= t.lo and t.hi <= hi)
+        below = sum(
+            r["n"]
+            for r in mine
+            if r["gap"] < gap or (r["gap"] == gap and (r["value"] is None or r["value"] < t.lo))
+        )
+        inside = sorted((r["value"], r["n"]) for r in mine if r["value"] is not None and t.lo <= r["value"] <= t.hi)
+        groups[i] = (below, inside)
+    return groups
+
+
+def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    merged: list[tuple[float, float]] = []
+    for lo, hi in sorted(spans):
+        if merged and lo <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
         else:
-            inside.append((value, n))
-            groups[target] = (below, inside)
-    return {k: (below, sorted(inside)) for k, (below, inside) in groups.items()}
+            merged.append((lo, hi))
+    return merged
 
 
 def _order_statistic(inside: list[tuple[float, int]], below: int, rank: int) -> float | None:

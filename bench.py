@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import json
 import os
+import sys
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,7 @@ def main() -> None:
             start = time.perf_counter()
             QUERIES[name](spark, folder).write.format("noop").mode("overwrite").save()
             times[name] = round(time.perf_counter() - start, 3)
+            print(name, times[name], file=sys.stderr, flush=True)
     print(
         json.dumps(
             {
