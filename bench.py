@@ -16,11 +16,9 @@ from pyspark.sql import SparkSession
 from basketry.catalog.queries import QUERIES
 
 HEADLINE = [
-    "src_transactions", "clean_lines", "trim_lines_p99", "null_counts", "describe_numeric", "quantile_p99",
-    "basket_stats", "rfm_assemble", "trim_customers_p99", "revenue_by_month", "revenue_share_by_country",
-    "pareto_customers", "pareto_products", "histogram", "corr_matrix_all", "basket_occurrence",
-    "join_label_lookup", "first_basket_features", "horizon_features", "horizon_sweep_features",
-    "stratified_split", "knn_classify", "silhouette", "hard_vote", "class_metrics", "kmeans_segments",
+    "clean_lines", "trim_lines_p99", "quantile_p99", "basket_stats", "rfm_assemble", "revenue_share_by_country",
+    "pareto_customers", "corr_matrix_all", "basket_occurrence", "join_label_lookup", "first_basket_features",
+    "horizon_features", "knn_classify", "class_metrics",
 ]
 
 
