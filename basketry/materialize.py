@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,18 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder; on a cluster the
-    setting is required.
+    A session without that setting uses a folder below its warehouse, which executors share too.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    current = context.getCheckpointDir()
-    if current is None:
-        if configured is None and not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="basketry-"))
-        current = context.getCheckpointDir()
-    return configured or current
+    if configured is None and context.getCheckpointDir() is None:
+        configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(configured)
+    return configured or context.getCheckpointDir()
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -31,6 +27,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
+    """Write ``df`` as parquet in the shared folder and read it back: one computation, pruning and
+    size statistics for every later use, nothing lost with an executor."""
+    path = scratch_path(df.sparkSession, name)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
