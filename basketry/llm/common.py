@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,12 @@ def whole_text(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once. A plain expression inside a lambda would be computed
+    anew for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def lower_ascii(c: Column) -> Column:
     """A-Z to lower case, every other character as it is. ``lower`` is the quick way for text
     without any other characters; elsewhere it would change more than A-Z."""

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from basketry.llm.lines import drop_common_lines
 from basketry.llm.mixing import mix_sources
 from basketry.llm.redirects import filter_pages
+from basketry.llm.secrets import kind_count, scan_secrets, span_text
+from basketry.llm.surrogates import replace_private
+from basketry.llm.templates import find_contamination
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -27,6 +30,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_surrogates(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return replace_private(docs, "query key").select("doc_id", "text", "n_private")
+
+
+def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return find_contamination(docs, table(spark, folder, "benchmark"))
+
+
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = scan_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id",
+        kind_count("base", "assign").alias("n_assign"),
+        kind_count("base", "access").alias("n_access"),
+        kind_count("base", "hex").alias("n_hex"),
+        F.sha2(span_text("base"), 256).alias("base_sha256"),
+        span_text("all_spans").alias("spans"),
+        kind_count("all_spans", "random").alias("n_random"),
+    )
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -44,6 +70,9 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_surrogates": op1_surrogates,
+    "op4_decontaminate": op4_decontaminate,
+    "op5_secret_scan": op5_secret_scan,
     "op7_line_dedup": op7_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_mix_sources": op10_mix_sources,
