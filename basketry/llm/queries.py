@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm.jaccard import jaccard_components
 from basketry.llm.lines import drop_common_lines
 from basketry.llm.mixing import mix_sources
 from basketry.llm.redirects import filter_pages
@@ -35,6 +36,10 @@ def op1_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     return replace_private(docs, "query key").select("doc_id", "text", "n_private")
 
 
+def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return find_contamination(docs, table(spark, folder, "benchmark"))
@@ -71,6 +76,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op7_line_dedup": op7_line_dedup,
