@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm.forest import near_vectors
 from basketry.llm.jaccard import jaccard_components
 from basketry.llm.lines import drop_common_lines
 from basketry.llm.mixing import mix_sources
@@ -40,6 +41,10 @@ def op2_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(table(spark, folder, "documents").select("doc_id", "text"))
 
 
+def op3_vector_forest(spark: SparkSession, folder: str) -> DataFrame:
+    return near_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
 def op4_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return find_contamination(docs, table(spark, folder, "benchmark"))
@@ -77,6 +82,7 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_ngram_jaccard": op2_ngram_jaccard,
+    "op3_vector_forest": op3_vector_forest,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
     "op7_line_dedup": op7_line_dedup,
