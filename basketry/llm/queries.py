@@ -11,6 +11,7 @@ from basketry.llm.forest import near_vectors
 from basketry.llm.jaccard import jaccard_components
 from basketry.llm.lines import drop_common_lines
 from basketry.llm.mixing import mix_sources
+from basketry.llm.pitman_yor import score_documents
 from basketry.llm.redirects import filter_pages
 from basketry.llm.secrets import kind_count, scan_secrets, span_text
 from basketry.llm.surrogates import replace_private
@@ -63,6 +64,10 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return score_documents(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = drop_common_lines(table(spark, folder, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -85,6 +90,7 @@ QUERIES: dict[str, Query] = {
     "op3_vector_forest": op3_vector_forest,
     "op4_decontaminate": op4_decontaminate,
     "op5_secret_scan": op5_secret_scan,
+    "op6_pitman_yor": op6_pitman_yor,
     "op7_line_dedup": op7_line_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_mix_sources": op10_mix_sources,
