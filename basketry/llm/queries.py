@@ -16,6 +16,7 @@ from basketry.llm.redirects import filter_pages
 from basketry.llm.secrets import kind_count, scan_secrets, span_text
 from basketry.llm.surrogates import replace_private
 from basketry.llm.templates import find_contamination
+from basketry.llm.weak_labels import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -73,6 +74,12 @@ def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_weak_label_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    return score_quality(docs, labels).select("doc_id", "quality_score", "kept")
+
+
 def op9_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     rules = spark.createDataFrame(RULES, "rule_host string, rule_path string, rule_verdict string")
     pages = table(spark, folder, "pages").select("page_id", "url", "html")
@@ -92,6 +99,7 @@ QUERIES: dict[str, Query] = {
     "op5_secret_scan": op5_secret_scan,
     "op6_pitman_yor": op6_pitman_yor,
     "op7_line_dedup": op7_line_dedup,
+    "op8_weak_label_quality": op8_weak_label_quality,
     "op9_url_filter": op9_url_filter,
     "op10_mix_sources": op10_mix_sources,
 }
@@ -99,6 +107,38 @@ QUERIES: dict[str, Query] = {
 _WORD = r"[^\x20\x09-\x0D]+"
 
 ORACLE: dict[str, str] = {
+    "op2_ngram_jaccard": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+  FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS s
+  FROM words
+), grams AS (
+  SELECT doc_id, unnest(s) AS g FROM sets
+), shared AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM grams x JOIN grams y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM shared JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id WHERE 100 * c >= 80 * (len(x.s) + len(y.s) - c)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(node, seen) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT node, b FROM reach JOIN both_ways ON seen = a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) ON doc_id = node""",
+    "op3_vector_forest": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id AND list_cosine_similarity(x.e, y.e) >= 0.95
+), reach(node, seen) AS (
+  SELECT vec_id, vec_id FROM v UNION SELECT node, b FROM reach JOIN links ON seen = a
+)
+SELECT v.vec_id, coalesce(n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN (SELECT node, min(seen) AS component_id FROM reach GROUP BY node) ON v.vec_id = node
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON v.vec_id = a""",
     "op7_line_dedup": r"""
 WITH split AS (
   SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents
