@@ -41,6 +41,13 @@ def hash_pair(c: Column) -> Column:
     return F.struct(F.xxhash64(c).alias("h1"), F.xxhash64(F.lit(7), c).alias("h2"))
 
 
-def only(df: DataFrame, *columns: str) -> DataFrame:
-    """The named columns; a missing one is null, so that tables may lack optional columns."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).alias(c) for c in columns])
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each lengthened until ``df`` has no column like it: for helper columns beside the user's."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
+        taken.add(name.lower())
+    return out

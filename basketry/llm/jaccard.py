@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketry.llm.common import fresh
 from basketry.llm.components import connected_components
 from basketry.llm.hashing import U64, mix, shingle_set, slot
 from basketry.materialize import stored
@@ -34,8 +35,9 @@ WIDTH = 5
 #: Shingles per group of keys in one task's hands.
 GROUP_SHINGLES = 250_000
 FLUSH_KEYS = 2_000_000
-BLOCK = 256
-CHUNK = 1_000
+#: Sets and shingles in one block of pairwise work.
+CHUNK = 2_048
+BLOCK_SHINGLES = 2_000_000
 
 _EDGES = [4]
 while _EDGES[-1] < 2**40:
@@ -134,7 +136,10 @@ def similar_sketches(na: int, a: bytes, nb: int, b: bytes) -> bool:
 def similar_sets(a: np.ndarray, b: np.ndarray) -> bool:
     if 4 * max(len(a), len(b)) > 5 * min(len(a), len(b)):
         return False
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    if len(a) > len(b):
+        a, b = b, a
+    at = np.searchsorted(b, a)
+    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
     return 100 * both >= 80 * (len(a) + len(b) - both)
 
 
@@ -254,75 +259,127 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(keep)
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by ``key, lo, hi``: pairs of one such group with different labels that may be similar."""
-
-    def pairs(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        found: set[tuple[int, int]] = set()
-        n = np.array([r[6] for r in rows])
-        label = np.array([r[5] for r in rows])
-        chunk = np.array([r[4] for r in rows])
-        lo, hi = rows[0][1], rows[0][2]
-        length = min(len(r[7]) for r in rows)
-        bits = np.stack([_folded(np.frombuffer(r[7], np.uint8), length) for r in rows])
-        for i in range(len(rows)):
-            open_ = (label != label[i]) & (4 * np.maximum(n, n[i]) <= 5 * np.minimum(n, n[i]))
-            open_ &= (chunk > chunk[i]) if lo != hi else True
-            open_[: i + 1] &= lo != hi
-            others = np.flatnonzero(open_)
-            if len(others):
-                far = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
-                for j in others[far <= (n[others] + n[i]) // 9]:
-                    found.add((min(rows[i][3], rows[j][3]), max(rows[i][3], rows[j][3])))
-        if found:
-            a, b = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+class Classes:
+    """Union-find over labels that appear as they come."""
+
+    def __init__(self):
+        self.parent: dict[int, int] = {}
+
+    def root(self, x: int) -> int:
+        path = []
+        while (up := self.parent.get(x, x)) != x:
+            path.append(x)
+            x = up
+        for p in path:
+            self.parent[p] = x
+        return x
 
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.root(x), self.root(y)
+        if x != y:
+            self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], key: tuple[str, ...], columns: tuple[str, ...]) -> Iterator[list[tuple]]:
+    """Runs of rows with equal ``key`` from sorted batches, each row as its ``columns``."""
     held: list[tuple] = []
+    of = None
     for batch in batches:
-        for row in zip(*[batch.column(c).to_pylist() for c in ("key", "lo", "hi", "doc", "chunk", "label", "n_shingles", "sketch")], strict=True):
-            if held and held[0][:3] != row[:3]:
-                yield from pairs(held)
+        names = [batch.column(c).to_pylist() for c in key]
+        values = [batch.column(c).cast(pa.binary()).to_pylist() if c == "text" else batch.column(c).to_pylist() for c in columns]
+        for k, row in zip(zip(*names, strict=True), zip(*values, strict=True), strict=True):
+            if held and k != of:
+                yield held
                 held = []
+            of = k
             held.append(row)
     if held:
-        yield from pairs(held)
+        yield held
+
+
+def _close(labels: list[int], chunks: list[int], n: np.ndarray, bits: np.ndarray, classes: Classes, similar) -> Iterator[tuple[int, int]]:
+    """Pairs of rows that join classes: similar by size, sketch and ``similar``. Rows with most
+    neighbours come first, so that few rows settle a group of copies. In a block of two chunks only
+    pairs between these count."""
+    cross = len(set(chunks)) > 1
+    chunk = np.array(chunks)
+    label = np.array([classes.root(x) for x in labels])
+
+    def neighbours(i: int) -> np.ndarray:
+        open_ = (label != label[i]) & (4 * np.maximum(n, n[i]) <= 5 * np.minimum(n, n[i]))
+        if cross:
+            open_ &= chunk != chunk[i]
+        others = np.flatnonzero(open_)
+        far = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
+        return others[far <= (n[others] + n[i]) // 9]
+
+    for i in range(len(labels)):
+        if (label == label[0]).all():
+            return
+        for j in neighbours(i):
+            if label[j] != label[i] and similar(i, j) and classes.join(int(label[i]), int(label[j])):
+                new = classes.root(int(label[i]))
+                label[(label == label[i]) | (label == label[j])] = new
+                yield i, j
+
+
+def _pairs(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = ([x[k] for x in found] for k in (0, 1))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _bits(sketches: list[bytes]) -> np.ndarray:
+    length = min(map(len, sketches))
+    return np.stack([_folded(np.frombuffer(x, np.uint8), length) for x in sketches])
+
+
+def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by ``key, lo, hi``: pairs that join labels which the sketches cannot tell apart. Joins
+    hold for the whole task, so a later key repeats none of them."""
+    classes = Classes()
+    for rows in _blocks(batches, ("key", "lo", "hi"), ("doc", "chunk", "label", "n_shingles", "sketch")):
+        docs, chunks, labels, n, sketches = map(list, zip(*rows, strict=True))
+        if len({classes.root(x) for x in labels}) > 1:
+            pairs = _close(labels, chunks, np.array(n), _bits(sketches), classes, lambda i, j: True)
+            if found := [(docs[i], docs[j]) for i, j in pairs]:
+                yield _pairs(found)
 
 
 def _verified(width: int):
-    """Rows sorted by ``a, salt, role``: the leader's text, then its partners'; the links between them."""
+    """Rows sorted by ``component, lo, hi``: links that join the documents of a block as all its links would."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        leaders: list[np.ndarray] = []
-        block = None
-        for batch in batches:
-            a, b = [], []
-            rows = zip(*[batch.column(c).to_pylist() for c in ("a", "salt", "role", "doc")], _texts(batch), strict=True)
-            for own, salt, role, doc, text in rows:
-                if block != (own, salt):
-                    block, leaders = (own, salt), []
+        for rows in _blocks(batches, ("component", "lo", "hi"), ("doc", "chunk", "text")):
+            classes = Classes()
+            first: dict[bytes, int] = {}
+            found, kept = [], []
+            for doc, chunk, text in rows:
                 s = shingle_set(text, width)
-                if role == 0:
-                    leaders.append(s)
-                elif any(similar_sets(x, s) for x in leaders):
-                    a.append(own), b.append(doc)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                same = first.setdefault(s.tobytes(), doc)
+                if same == doc:
+                    kept.append((doc, chunk, s))
+                else:
+                    found.append((same, doc))
+            docs, chunks, sets = map(list, zip(*kept, strict=True))
+            n = np.array([len(s) for s in sets])
+            bits = _bits([sketch(s) for s in sets])
+            near = _close(docs, chunks, n, bits, classes, lambda i, j: similar_sets(sets[i], sets[j]))
+            found += [(docs[i], docs[j]) for i, j in near]
+            if found:
+                yield _pairs(found)
 
     return run
 
 
-def verify_pairs(pairs: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """The ``a, b`` of distinct candidate pairs whose sets are similar. The partners of one set are
-    checked in blocks of about ``BLOCK``, each with its own copy of that set's text."""
-    counts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = pairs.join(counts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("blocks")))
-    leaders = dealt.select("a", "salt", F.lit(0).alias("role"), F.col("a").alias("doc")).distinct()
-    rows = leaders.union(dealt.select("a", "salt", F.lit(1), "b"))
+def _in_chunks(rows: DataFrame) -> DataFrame:
+    """``rows`` with the number of ``chunks`` of their group, dealt to blocks ``lo, hi``: every chunk and every two chunks meet in one."""
+    chunk = F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")
     return (
-        rows.join(docs.select(F.col("doc_id").alias("doc"), "text"), "doc")
-        .repartition("a", "salt").sortWithinPartitions("a", "salt", "role")
-        .mapInArrow(_verified(width), "a long, b long")
-        .distinct()
+        rows.withColumn("chunk", chunk)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumns({"lo": F.least("chunk", "other"), "hi": F.greatest("chunk", "other")})
+        .drop("other", "chunks")
     )
 
 
@@ -330,11 +387,12 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the size of its shingle set and the smallest
     doc_id reachable over links, itself included. Two documents link when the similarity of their sets is at least 0.8.
 
-    All sets with one key are first compared with the first of them, which joins copies to one
-    component at a cost of one check per copy and key. Only where a key then holds several
-    components are its remaining pairs across components looked at: parity sketches, which can
-    show that two sets differ too much, rule most of them out, and the rest is verified. Pairs
-    inside a component cannot change it and are not expanded.
+    Candidates are narrowed by parity sketches, which can prove that two sets differ too much. Every
+    set with a key is compared with the first one of that key; where a key then still holds several
+    components, its other pairs across these are compared too, but only pairs that join
+    components are handed on, so a group of n copies costs about n rows and not n squared. What hangs
+    together by sketches is then read once, in blocks of bounded size, and joined by exact
+    similarity: each pair in it that could still join two components is verified.
 
     A null or empty text, or one without words, has an empty set, links with nothing and is its own
     component. A null doc_id cannot be named: its row has a null component and links with nothing.
@@ -353,9 +411,9 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def side(x: str) -> DataFrame:
         return sketches.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
 
-    stars = same_key.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(_pruned, "a long, b long").distinct()
-    links = stored(verify_pairs(stored(stars, "stars"), named, width), "links")
-    labels = stored(connected_components(links), "labels")
+    stars = same_key.select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b").mapInArrow(_pruned, "a long, b long")
+    near = stored(stars.distinct(), "stars")
+    labels = stored(connected_components(near), "labels")
 
     members = same_key.where("key != 0").select("key", F.explode(F.array("a", "b")).alias("doc")).distinct()
     labelled = stored(
@@ -365,19 +423,28 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
         labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
         .where("x != y").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     )
-    chunk = F.pmod(F.xxhash64("doc"), F.col("chunks")).cast("int")
     across = (
-        labelled.join(mixed, "key").withColumn("chunk", chunk)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-        .select("key", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi"), "doc", "chunk", "label")
+        _in_chunks(labelled.join(mixed, "key"))
         .join(sketches.withColumnRenamed("doc_id", "doc"), "doc")
         .repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
         .mapInArrow(_across, "a long, b long").distinct()
     )
-    more = stored(verify_pairs(stored(across, "across"), named, width), "links")
+    more = stored(across, "across")
     if not more.isEmpty():
-        labels = stored(connected_components(links.union(more)), "labels")
-    return sizes.join(labels, F.col("doc_id") == F.col("node"), "left").select(
+        labels = stored(connected_components(near.union(more)), "labels")
+
+    sized = labels.join(sketches, F.col("node") == F.col("doc_id")).select("component", F.col("node").alias("doc"), "n_shingles")
+    blocks = sized.groupBy("component").agg(
+        F.ceil(F.greatest(F.sum("n_shingles") / BLOCK_SHINGLES, F.count(F.lit(1)) / CHUNK)).cast("int").alias("chunks")
+    )
+    placed = stored(_in_chunks(labels.select("component", F.col("node").alias("doc")).join(blocks, "component")), "blocks")
+    links = (
+        placed.join(named.withColumnRenamed("doc_id", "doc"), "doc")
+        .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "doc")
+        .mapInArrow(_verified(width), "a long, b long").distinct()
+    )
+    final = connected_components(stored(links, "links"))
+    return sizes.join(final, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )
 
@@ -385,5 +452,6 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 def drop_near_copies(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``docs`` with one document of every component: the one with the smallest doc_id. Rows without
     an id stay."""
-    gone = jaccard_components(docs, width).where("component_id != doc_id").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    (gone_id,) = fresh(docs, "gone_id")
+    gone = jaccard_components(docs, width).where("component_id != doc_id").select(F.col("doc_id").alias(gone_id)).distinct()
+    return docs.join(gone, F.col("doc_id") == F.col(gone_id), "left_anti")

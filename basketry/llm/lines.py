@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketry.llm.common import SPACES, hash_pair, lower_ascii, whole_text
+from basketry.llm.common import SPACES, fresh, hash_pair, lower_ascii, whole_text
 from basketry.materialize import stored
 
 MIN_CHARS = 1
@@ -109,24 +109,25 @@ def drop_common_lines(
     common = runs.counts().where(F.col("docs") >= min_docs).select(
         "h1", "h2", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt")
     )
+    gone_id, gone_hashes, all_parts, kept_parts = fresh(docs, "gone_id", "gone", "parts", "kept_parts")
     gone = (
         lines.withColumn("salt", salt)
         .join(common, ["h1", "h2", "salt"], "left_semi")
-        .groupBy(F.col("doc_id").alias("gone_id"))
-        .agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))
+        .groupBy(F.col("doc_id").alias(gone_id))
+        .agg(F.collect_set(F.struct("h1", "h2")).alias(gone_hashes))
     )
     columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     text = whole_text()
     parts = split_lines(text)
     staying = F.filter(
         parts,
-        lambda line: F.length(line_key(line)).__lt__(min_chars) | ~F.array_contains(F.col("gone"), hash_pair(line_key(line))),
+        lambda line: (F.length(line_key(line)) < min_chars) | ~F.array_contains(F.col(gone_hashes), hash_pair(line_key(line))),
     )
-    kept = F.when(F.col("gone").isNull(), parts).otherwise(staying)
-    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left").select(*columns, parts.alias("_parts"), kept.alias("_kept"))
+    kept = F.when(F.col(gone_hashes).isNull(), parts).otherwise(staying)
+    joined = docs.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)), "left").select(*columns, parts.alias(all_parts), kept.alias(kept_parts))
     return joined.select(
         *columns,
-        F.array_join("_kept", "\n").alias("text"),
-        F.size("_parts").cast("long").alias("n_lines"),
-        (F.size("_parts") - F.size("_kept")).cast("long").alias("n_dropped"),
+        F.array_join(kept_parts, "\n").alias("text"),
+        F.size(all_parts).cast("long").alias("n_lines"),
+        (F.size(all_parts) - F.size(kept_parts)).cast("long").alias("n_dropped"),
     )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from basketry.llm.common import whole_text, word_count
+from basketry.llm.common import fresh, whole_text, word_count
 from basketry.materialize import stored
 
 WEIGHTS = (5, 2, 1)
@@ -108,18 +108,21 @@ def mix_sources(
     )
     plan = stored(
         budgets.join(in_cut, F.col("src").eqNullSafe(F.col("cut_src")), "left").drop("cut_src"), "plan"
-    ).select(*[F.col(c).alias(f"mix_{c}") for c in ("src", "source_size", "target", "epochs", "cut_key", "part", "key_size")])
+    )
+    named = dict(zip(plan.columns, fresh(docs, *[f"mix_{c}" for c in plan.columns]), strict=True))
+    plan = plan.withColumnsRenamed(named)
+    of = {c: F.col(n) for c, n in named.items()}
     rest = (
-        F.when(key < F.col("mix_cut_key"), words)
-        .when(key == F.col("mix_cut_key"), F.floor(F.col("mix_part") * words / F.col("mix_key_size")))
+        F.when(key < of["cut_key"], words)
+        .when(key == of["cut_key"], F.floor(of["part"] * words / of["key_size"]))
         .otherwise(0)
     )
-    return kept.join(plan, F.col("source").eqNullSafe(F.col("mix_src")), "left").select(
+    return kept.join(plan, F.col("source").eqNullSafe(of["src"]), "left").select(
         *[F.col(c) for c in kept.columns],
         words.alias("size"),
-        F.col("mix_source_size").alias("source_size"),
-        F.col("mix_target").alias("target"),
-        (F.col("mix_epochs") * words + rest).cast("long").alias("taken"),
+        of["source_size"].alias("source_size"),
+        of["target"].alias("target"),
+        (of["epochs"] * words + rest).cast("long").alias("taken"),
     )
 
 

@@ -113,7 +113,7 @@ WITH RECURSIVE words AS (
   FROM documents
 ), sets AS (
   SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
-         ELSE list_distinct(list_transform(range(1, len(ws) - 3), i -> array_to_string(ws[i:i + 4], ' '))) END AS s
+         ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s
   FROM words
 ), grams AS (
   SELECT doc_id, unnest(s) AS g FROM sets

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketry.llm.common import let, whole_text
+from basketry.llm.common import fresh, let, whole_text
 from basketry.llm.spans import spans
 from basketry.materialize import stored
 
@@ -160,8 +160,9 @@ def scan_secrets(
         )
         return F.struct(F.sort_array(known).alias("base"), _judged(free).alias("candidates"))
 
-    found = docs.select(*rest, let(F.concat(*base), candidates).alias("found"))
-    found = stored(found.select(*rest, "found.base", "found.candidates"), "spans")
+    (both,) = fresh(docs, "found")
+    found = docs.select(*rest, let(F.concat(*base), candidates).alias(both))
+    found = stored(found.select(*rest, f"{both}.base", f"{both}.candidates"), "spans")
 
     steps = (
         found.select(F.explode("candidates").alias("c")).groupBy(F.col("c.step").alias("step")).agg(F.count(F.lit(1)).alias("n"))

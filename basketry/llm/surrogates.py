@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import let, whole_text
+from basketry.llm.common import fresh, let, whole_text
 from basketry.materialize import stored
 
 #: Fixed titles by gender; a name is what follows a title.
@@ -196,19 +196,20 @@ def replace_private(docs: DataFrame, key: str) -> DataFrame:
         docs.where(text.rlike(ANY)).select("doc_id", F.explode(F.array_distinct(parts)).alias("p")).select("doc_id", "p.kind", "p.value"), "mentions"
     )
     replacements = surrogate_table(found, key)
+    map_id, of_doc = fresh(docs, "map_id", "map")
     maps = (
         found.distinct().join(replacements, ["kind", "value"])
-        .groupBy(F.col("doc_id").alias("map_id"))
-        .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "value"), "replacement"))).alias("map"))
+        .groupBy(F.col("doc_id").alias(map_id))
+        .agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("|", "kind", "value"), "replacement"))).alias(of_doc))
     )
     pieces = F.split(text, ANY, -1)
-    rendered = F.transform(mentions, lambda m: _rendered(m, F.col("map")))
+    rendered = F.transform(mentions, lambda m: _rendered(m, F.col(of_doc)))
     woven = F.array_join(F.zip_with(pieces, F.concat(rendered, F.array(F.lit(""))), lambda p, r: F.concat(p, r)), "")
-    joined = docs.join(maps, F.col("doc_id").eqNullSafe(F.col("map_id")), "left")
-    new = F.when(F.col("map").isNotNull() & text.rlike(ANY), woven).otherwise(F.col("text"))
+    joined = docs.join(maps, F.col("doc_id").eqNullSafe(F.col(map_id)), "left")
+    new = F.when(F.col(of_doc).isNotNull() & text.rlike(ANY), woven).otherwise(F.col("text"))
     return joined.select(
         *[new.alias("text") if c == "text" else F.col(c) for c in columns],
-        F.when(F.col("map").isNotNull(), F.size(mentions)).otherwise(0).cast("long").alias("n_private"),
+        F.when(F.col(of_doc).isNotNull(), F.size(mentions)).otherwise(0).cast("long").alias("n_private"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketry.llm.common import let, whole_text
+from basketry.llm.common import fresh, let, whole_text
 from basketry.materialize import stored
 
 WINDOW = 8
@@ -147,5 +147,6 @@ def find_contamination(
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows that hold a benchmark item."""
-    hit = find_contamination(docs, benchmark, **options).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    (hit_id,) = fresh(docs, "hit_id")
+    hit = find_contamination(docs, benchmark, **options).select(F.col("doc_id").alias(hit_id)).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(hit_id)), "left_anti")
