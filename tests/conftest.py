@@ -8,7 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
+    shared = tmp_path_factory.mktemp("shared")
     session = (
         SparkSession.builder.master("local[8]")
         .appName("tests")
@@ -16,6 +17,8 @@ def spark():
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", str(shared / "checkpoints"))
+        .config("spark.sql.warehouse.dir", str(shared / "warehouse"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
