@@ -69,8 +69,8 @@ def mix_sources(
     (repeated rows) share a cut in proportion to their sizes, rounded down. Empty input gives an
     empty result. Columns of ``docs`` named like a new one are replaced.
     """
-    fresh = ["size", "source_size", "target", "taken"]
-    kept = docs.drop(*fresh)
+    new = ["size", "source_size", "target", "taken"]
+    kept = docs.drop(*new)
     words = word_count(whole_text()) if size is None else size
     key = F.md5(F.concat_ws("|", F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = stored(docs.select("doc_id", "source", words.alias("size"), key.alias("key")), "sized")
