@@ -75,7 +75,7 @@ def mix_sources(
     key = F.md5(F.concat_ws("|", F.lit(salt), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     sized = stored(docs.select("doc_id", "source", words.alias("size"), key.alias("key")), "sized")
     n = sized.count()
-    ranges = min(65_536, max(16, -(-n // rows_per_range)))
+    ranges = max(16, -(-n // rows_per_range))
     place = F.floor(F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.lit(ranges) / F.lit(2**32))
     ranged = sized.withColumn("range", place)
     by_range = stored(ranged.groupBy("source", "range").agg(F.sum("size").alias("n")), "ranges")
