@@ -1,10 +1,11 @@
 """Exact interpolated quantiles without a global sort.
 
 The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer,
-which cannot grow to a large table. Here an approximate sketch brackets each wanted rank, one
-further pass counts what lies below the bracket and groups the values inside it, and the exact
-order statistics are read from those few groups. The bracket is checked against the exact
-counts, so the result does not depend on the sketch being right.
+which cannot grow to a large table. Here a wanted rank is closed in by histograms: the range of a
+column is cut into equal bins, one aggregate counts them, and the bin that holds the rank becomes the
+next range, from its smallest to its largest value. Both ends of a range fall into different bins,
+so every round leaves a smaller range and the search always ends, on any data. Counts stay
+on the executors; the driver sees at most two bins per quantile and round.
 """
 
 from __future__ import annotations
@@ -13,186 +14,100 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil, floor
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-ACCURACY = 10_000
-GROUP_BUDGET = 500_000
+BINS = 4_096
 
 
 @dataclass
 class _Target:
+    """One quantile: its two ranks within the rows of ``column`` from ``lo`` to ``hi``."""
+
     column: str
     p: float
-    low_rank: int
-    high_rank: int
+    low: int
+    high: int
     share: float
-    lo: float | None = None
-    hi: float | None = None
-    below: int = 0
-    rows: int = 0
+    lo: float
+    hi: float
+
+    def value(self, low: float, high: float) -> float:
+        return low if low == high else low + (high - low) * self.share
 
 
 def exact_quantiles(
-    df: DataFrame,
-    wanted: Mapping[str, Sequence[float]],
-    accuracy: int = ACCURACY,
-    group_budget: int = GROUP_BUDGET,
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = BINS
 ) -> dict[tuple[str, float], float | None]:
     """``{(column, p): value}`` with linear interpolation between neighbouring order statistics.
 
-    Nulls are ignored; an all-null column gives None. At most ``group_budget`` distinct values
-    per target come to the driver: a wider bracket is narrowed with another sketch first.
+    Nulls and NaN are left out; a column without other values gives None.
     """
     columns = list(wanted)
-    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    slack = 2.0 / accuracy
-
-    def bracket(col, p: float):
-        return F.percentile_approx(
-            col, F.array(F.lit(max(0.0, p - slack)), F.lit(min(1.0, p + slack))), F.lit(accuracy)
-        )
-
-    sketch = values.agg(
-        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
-        *[
-            bracket(F.col(c), p).alias(f"b_{i}_{j}")
-            for i, c in enumerate(columns)
-            for j, p in enumerate(wanted[c])
-        ],
+    values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
+    ends = values.agg(
+        *[f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     ).first()
-
     result: dict[tuple[str, float], float | None] = {}
-    targets: list[_Target] = []
+    open_: list[_Target] = []
     for i, c in enumerate(columns):
-        n = sketch[f"n_{i}"]
-        for j, p in enumerate(wanted[c]):
+        n, lo, hi = ends[f"n_{i}"], ends[f"lo_{i}"], ends[f"hi_{i}"]
+        for p in wanted[c]:
             if not n:
                 result[c, p] = None
-                continue
-            position = (n - 1) * p
-            edge = sketch[f"b_{i}_{j}"]
-            targets.append(
-                _Target(c, p, floor(position), ceil(position), position - floor(position),
-                        edge[0], edge[1], 0, n)
-            )
-            targets[-1].rows = ceil(n * 2 * (slack + 1.0 / accuracy)) + 2
-
-    _narrow(values, [t for t in targets if t.rows > group_budget], accuracy, group_budget, slack)
-    while targets:
-        groups = _groups_in_brackets(values, targets)
-        outside, missed = [], []
-        for i, t in enumerate(targets):
-            below, inside = groups.get(i, (0, []))
-            low = _order_statistic(inside, below, t.low_rank)
-            high = _order_statistic(inside, below, t.high_rank)
-            if low is not None and high is not None:
-                result[t.column, t.p] = low if low == high else low + (high - low) * t.share
-                continue
-            missed.append(t)
-            if low is None:
-                t.lo, t.hi = (float("-inf"), t.lo) if t.low_rank < below else (t.hi, float("inf"))
-                outside.append(t)
+            elif lo == hi:
+                result[c, p] = lo
             else:
-                t.hi = _next_value(values, t)
-        _narrow(values, outside, accuracy, group_budget, slack)
-        targets = missed
+                at = (n - 1) * p
+                open_.append(_Target(c, p, floor(at), ceil(at), at - floor(at), lo, hi))
+    while open_:
+        found = _bins_of_ranks(values, open_, bins)
+        still = []
+        for i, t in enumerate(open_):
+            low, high = found[i, "low"], found[i, "high"]
+            if low["bin"] != high["bin"]:
+                result[t.column, t.p] = t.value(low["hi"], high["lo"])
+            elif low["lo"] == low["hi"]:
+                result[t.column, t.p] = low["lo"]
+            else:
+                t.low, t.high = t.low - low["before"], t.high - low["before"]
+                t.lo, t.hi = low["lo"], low["hi"]
+                still.append(t)
+        open_ = still
     return result
 
 
-def _groups_in_brackets(values: DataFrame, targets: list[_Target]):
-    """One pass: for each target the rows below its bracket and the value groups inside it.
+def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
+    """The number of the bin, rising with ``x``; infinite values have bins of their own."""
+    inside = F.floor((x / 2 - F.lit(lo) / 2) / (F.lit(hi) / 2 - F.lit(lo) / 2) * bins)
+    return (
+        F.when(x == F.lit(float("-inf")), F.lit(-1)).when(x == F.lit(float("inf")), F.lit(bins))
+        .otherwise(F.least(inside, F.lit(bins - 1))).cast("int")
+    )
 
-    Overlapping brackets of a column are merged, so a row adds one group entry per column: its
-    value inside a bracket, only the number of the gap it lies in outside.
-    """
-    marks = []
-    columns = list(dict.fromkeys(t.column for t in targets))
-    for at, c in enumerate(columns):
+
+def _bins_of_ranks(values: DataFrame, targets: list[_Target], bins: int) -> dict:
+    """For every target the bins that hold its lower and upper rank: ``bin, before, lo, hi``."""
+    ranges = list(dict.fromkeys((t.column, t.lo, t.hi) for t in targets))
+    entries = []
+    for i, (c, lo, hi) in enumerate(ranges):
         x = F.col(c)
-        gap = F.when(x.isNull(), F.lit(None).cast("int"))
-        inside = F.lit(False)
-        spans = _merged([(t.lo, t.hi) for t in targets if t.column == c])
-        for i, (lo, hi) in enumerate(spans):
-            gap = gap.when(x <= F.lit(hi), F.lit(i))
-            inside = inside | x.between(F.lit(lo), F.lit(hi))
-        marks.append(
-            F.struct(F.lit(at).alias("column"), gap.alias("gap"), F.when(inside, x).alias("value"))
-        )
+        # Infinite ends say nothing about the width of a bin.
+        low, high = max(lo, -1.7e308), min(hi, 1.7e308)
+        inside = x.between(F.lit(lo), F.lit(hi))
+        entries.append(F.when(inside, F.struct(F.lit(i).alias("range"), _bin(x, low, high, bins).alias("bin"), x.alias("x"))))
     counted = (
-        values.select(F.inline(F.array(*marks)))
-        .where(F.col("gap").isNotNull())
-        .groupBy("column", "gap", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
+        values.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+        .groupBy("range", "bin")
+        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
     )
-    groups: dict[int, tuple[int, list[tuple[float, int]]]] = {}
+    order = Window.partitionBy("range").orderBy("bin")  # at most bins + 2 rows
+    counted = counted.withColumn("before", F.sum("n").over(order) - F.col("n"))
+    marks = []
     for i, t in enumerate(targets):
-        mine = [r for r in counted if r["column"] == columns.index(t.column)]
-        spans = _merged([(u.lo, u.hi) for u in targets if u.column == t.column])
-        gap = next(g for g, (lo, hi) in enumerate(spans) if lo <= t.lo and t.hi <= hi)
-        below = sum(
-            r["n"]
-            for r in mine
-            if r["gap"] < gap or (r["gap"] == gap and (r["value"] is None or r["value"] < t.lo))
-        )
-        inside = sorted((r["value"], r["n"]) for r in mine if r["value"] is not None and t.lo <= r["value"] <= t.hi)
-        groups[i] = (below, inside)
-    return groups
-
-
-def _merged(spans: list[tuple[float, float]]) -> list[tuple[float, float]]:
-    merged: list[tuple[float, float]] = []
-    for lo, hi in sorted(spans):
-        if merged and lo <= merged[-1][1]:
-            merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
-        else:
-            merged.append((lo, hi))
-    return merged
-
-
-def _order_statistic(inside: list[tuple[float, int]], below: int, rank: int) -> float | None:
-    if rank < below:
-        return None
-    seen = below
-    for value, n in inside:
-        seen += n
-        if rank < seen:
-            return value
-    return None
-
-
-def _narrow(values: DataFrame, wide: list[_Target], accuracy: int, budget: int, slack: float) -> None:
-    """Shrink brackets that may hold too many distinct values, by sketching inside them."""
-    while wide:
-        counts = values.agg(
-            *[F.count_if(F.col(t.column) < F.lit(t.lo)).alias(f"below_{i}") for i, t in enumerate(wide)],
-            *[
-                F.count_if(F.col(t.column).between(F.lit(t.lo), F.lit(t.hi))).alias(f"in_{i}")
-                for i, t in enumerate(wide)
-            ],
-        ).first()
-        shares = []
-        for i, t in enumerate(wide):
-            inside = max(counts[f"in_{i}"], 1)
-            local = min(max((t.low_rank - counts[f"below_{i}"]) / inside, 0.0), 1.0)
-            shares.append((inside, max(0.0, local - slack), min(1.0, local + slack)))
-        edges = values.agg(
-            *[
-                F.percentile_approx(
-                    F.when(F.col(t.column).between(F.lit(t.lo), F.lit(t.hi)), F.col(t.column)),
-                    F.array(F.lit(shares[i][1]), F.lit(shares[i][2])),
-                    F.lit(accuracy),
-                ).alias(f"b_{i}")
-                for i, t in enumerate(wide)
-            ]
-        ).first()
-        for i, t in enumerate(wide):
-            t.lo, t.hi = edges[f"b_{i}"]
-            t.rows = ceil(shares[i][0] * 2 * (slack + 1.0 / accuracy)) + 2
-        wide = [t for t in wide if t.rows > budget and t.lo < t.hi]
-
-
-def _next_value(values: DataFrame, t: _Target) -> float:
-    x = F.col(t.column)
-    return values.agg(F.min(F.when(x > F.lit(t.hi), x))).first()[0]
+        for side, rank in (("low", t.low), ("high", t.high)):
+            hit = (F.col("range") == ranges.index((t.column, t.lo, t.hi))) & (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
+            marks.append(F.when(hit, F.struct(F.lit(i).alias("target"), F.lit(side).alias("side"))))
+    wanted = F.filter(F.array(*marks), lambda m: m.isNotNull())
+    rows = counted.select(F.inline(wanted), "bin", "before", "lo", "hi").collect()
+    return {(r["target"], r["side"]): r for r in rows}

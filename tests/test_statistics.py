@@ -25,33 +25,27 @@ def frame(spark, values):
     return spark.createDataFrame(values, "id bigint, x double, g int").repartition(6)
 
 
-@pytest.mark.parametrize("accuracy,budget", [(10_000, 500_000), (50, 10)])
-def test_quantiles_are_exact(frame, values, accuracy, budget):
+@pytest.mark.parametrize("bins", [4_096, 10, 2])
+def test_quantiles_are_exact(frame, values, bins):
     ps = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = exact_quantiles(frame, {"x": ps, "g": [0.99]}, accuracy, budget)
+    got = exact_quantiles(frame, {"x": ps, "g": [0.99]}, bins)
     xs = [v[1] for v in values]
     for p in ps:
         assert got["x", p] == pytest.approx(np.quantile(xs, p), abs=1e-9)
     assert got["g", 0.99] == 4
 
 
-def test_quantiles_recover_from_a_bracket_that_misses(frame, values, monkeypatch):
-    from basketry.operators import quantiles as q
-
-    real = q._groups_in_brackets
-    calls = []
-
-    def shifted(df, targets):
-        calls.append(1)
-        if len(calls) == 1:
-            for t in targets:
-                t.lo, t.hi = 90.0, 91.0
-        return real(df, targets)
-
-    monkeypatch.setattr(q, "_groups_in_brackets", shifted)
-    got = exact_quantiles(frame, {"x": [0.5]})
-    assert got["x", 0.5] == pytest.approx(np.quantile([v[1] for v in values], 0.5))
-    assert len(calls) > 1
+def test_quantiles_end_on_every_column(spark):
+    half = [(float(i % 2), float(49 + (i >= 500)), 2.0 ** (i - 500), 1e-300 * i, float("nan") if i % 3 else 1.0 * i, None, 5.0) for i in range(1000)]
+    df = spark.createDataFrame(half, "half double, border double, wide double, tiny double, some double, none double, same double")
+    ps = [0.0, 0.4995, 0.5, 0.99, 1.0]
+    got = exact_quantiles(df, {c: ps for c in df.columns}, 10)
+    for i, c in enumerate(df.columns):
+        xs = [r[i] for r in half if r[i] is not None and r[i] == r[i]]
+        for p in ps:
+            assert got[c, p] == (pytest.approx(np.quantile(xs, p), rel=1e-9) if xs else None)
+    ends = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,), (3.0,), (float("inf"),)], "x double")
+    assert [exact_quantiles(ends, {"x": [p]})["x", p] for p in (0.0, 0.25, 0.5, 0.75, 1.0)] == [float("-inf"), 1, 2, 3, float("inf")]
 
 
 def test_quantile_of_nothing(spark):
