@@ -23,7 +23,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.llm.common import fresh
@@ -38,6 +38,8 @@ FLUSH_KEYS = 2_000_000
 #: Sets and shingles in one block of pairwise work.
 CHUNK = 2_048
 BLOCK_SHINGLES = 2_000_000
+#: Bits of the filter of wanted documents: 8 MB, whatever the number of documents.
+FILTER_BITS = 1 << 26
 
 _EDGES = [4]
 while _EDGES[-1] < 2**40:
@@ -383,6 +385,25 @@ def _in_chunks(rows: DataFrame) -> DataFrame:
     )
 
 
+def _wanted(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """``docs`` without most rows whose ``doc_id`` is not a ``node`` of ``ids``, so that their texts need no
+    shuffle. The filter of hashed ids may let a row through, but never holds one of ``ids`` back; the join after it is exact."""
+
+    def place(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS)) + 1
+
+    filters = ids.groupBy(F.bitmap_bucket_number(place("node")).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place("node"))).alias("bits")
+    )
+    bit = F.bitmap_bit_position(place("doc_id"))
+    byte = F.conv(F.hex(F.col("bits").substr((F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return (
+        docs.join(F.broadcast(filters), F.bitmap_bucket_number(place("doc_id")) == F.col("bucket"))
+        .where(F.getbit(byte, (bit % 8).cast("int")) == 1)
+        .select(*docs.columns)
+    )
+
+
 def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row: the size of its shingle set and the smallest
     doc_id reachable over links, itself included. Two documents link when the similarity of their sets is at least 0.8.
@@ -419,9 +440,15 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     labelled = stored(
         members.join(labels, F.col("doc") == F.col("node"), "left").select("key", "doc", F.coalesce("component", "doc").alias("label")), "members"
     )
+    # Keys with the same sets lead to the same comparisons: one of them is enough.
     mixed = (
-        labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"))
-        .where("x != y").select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
+        labelled.groupBy("key")
+        .agg(
+            F.min("label").alias("x"), F.max("label").alias("y"), F.count(F.lit(1)).alias("n"),
+            F.bit_xor(F.xxhash64("doc")).alias("h1"), F.bit_xor(F.xxhash64(F.lit(7), "doc")).alias("h2"),
+        )
+        .where("x != y").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"))
+        .select("key", F.ceil(F.col("n") / CHUNK).cast("int").alias("chunks"))
     )
     across = (
         _in_chunks(labelled.join(mixed, "key"))
@@ -439,7 +466,7 @@ def jaccard_components(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     )
     placed = stored(_in_chunks(labels.select("component", F.col("node").alias("doc")).join(blocks, "component")), "blocks")
     links = (
-        placed.join(named.withColumnRenamed("doc_id", "doc"), "doc")
+        placed.join(_wanted(named, labels).withColumnRenamed("doc_id", "doc"), "doc")
         .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi", "doc")
         .mapInArrow(_verified(width), "a long, b long").distinct()
     )
