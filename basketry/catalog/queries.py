@@ -554,7 +554,7 @@ def union_slices(s: Stage):
 
 @query("kmeans_segments")
 def kmeans_segments(s: Stage):
-    done = ct.segment(s.customers, restarts=3)
+    done = ct.segment(s.customers)
     return tidy(done.customers.select("CustomerID", *CLUSTER_COLUMNS, "Label"))
 
 
@@ -565,7 +565,7 @@ def kmeans_k_sweep(s: Stage):
 
 @query("segment_tree")
 def segment_tree(s: Stage):
-    return ct.explain_segments(checkpointed(ct.segment(s.customers, restarts=2).customers))[1]
+    return ct.explain_segments(checkpointed(ct.segment(s.customers).customers))[1]
 
 
 @query("silhouette")
@@ -677,13 +677,13 @@ def class_metrics_table(s: Stage):
 
 SMALL_GRIDS = {
     "gbt": [{"learning_rate": 0.1, "n_estimators": 10, "max_depth": 2}],
-    "lr": [{"C": 1.0, "penalty": "l2", "max_iter": 50}],
-    "svm": [{"C": 1.0, "max_iter": 50}],
+    "lr": [{"C": 1.0, "penalty": "l2", "max_iter": 500}],
+    "svm": [{"C": 1.0, "max_iter": 100}],
 }
 
 
 def _segments(s: Stage) -> DataFrame:
-    return checkpointed(ct.segment(s.customers, restarts=2).customers.select("CustomerID", "Label"))
+    return checkpointed(ct.segment(s.customers).customers.select("CustomerID", "Label"))
 
 
 def _split_features(s: Stage) -> tuple[DataFrame, DataFrame]:
@@ -727,8 +727,7 @@ def cv_grid_search(s: Stage):
 @query("knn_grid_search")
 def knn_grid_search(s: Stage):
     train, _ = _split_features(s)
-    grid = [g for g in cf.KNN_GRID if g["k"] in (5, 10, 20)]
-    return cf.grid_table(s.spark, "knn", cf.knn_grid_search(train, grid, folds=3)[1])
+    return cf.grid_table(s.spark, "knn", cf.knn_grid_search(train)[1])
 
 
 @query("first_purchase_model")

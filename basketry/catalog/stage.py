@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from basketry.materialize import checkpointed
+from basketry.materialize import stored
 from basketry.operators.baskets import baskets
 from basketry.operators.cleaning import clean, trim_customers, trim_lines
 from basketry.operators.customers import customer_table, reference_date
@@ -38,7 +38,8 @@ class Stage:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return trim_lines(self.cleaned)
+        """Limits, baskets and features read the stored clean lines, not the joins behind them."""
+        return trim_lines(stored(self.cleaned.hint("rebalance"), "clean-lines"))
 
     @cached_property
     def baskets(self) -> DataFrame:
@@ -50,7 +51,7 @@ class Stage:
 
     @cached_property
     def stored_customers(self) -> DataFrame:
-        return checkpointed(self.all_customers)
+        return stored(self.all_customers, "customers")
 
     @cached_property
     def customers(self) -> DataFrame:

@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations, combinations_with_replacement
-from math import isnan
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,17 +117,16 @@ def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
 
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlation of every column pair (``a``, ``b``, ``r``) over the rows without nulls,
-    in one distributed pass; a constant column gives null."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="features", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    )
-    matrix = Correlation.corr(vectors, "features").first()[0].toArray()
-    rows = [
-        (columns[i], columns[j], None if isnan(matrix[i, j]) else float(matrix[i, j]))
-        for i, j in combinations(range(len(columns)), 2)
+    """Pearson correlation of every column pair (``a``, ``b``, ``r``), each over the rows where both are
+    present, in one aggregate by pair with map-side combine; a constant column gives null."""
+    pair = [
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in combinations(columns, 2)
     ]
-    return df.sparkSession.createDataFrame(rows, "a string, b string, r double")
+    x, y = F.col("x"), F.col("y")
+    spread = F.stddev_samp(F.when(y.isNotNull(), x)) * F.stddev_samp(F.when(x.isNotNull(), y))
+    r = F.nanvl(F.try_divide(F.covar_samp("x", "y"), spread), F.lit(None).cast("double"))
+    return df.select(F.inline(F.array(*pair))).groupBy("a", "b").agg(r.alias("r"))
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from basketry.materialize import checkpointed
+from basketry.materialize import checkpointed, stored
 from basketry.operators.baskets import baskets
 from basketry.operators.cleaning import HOME_COUNTRY, clean, trim_customers, trim_lines
 from basketry.operators.clustering import Segmentation, segment
@@ -35,7 +35,7 @@ def segment_customers(
     seed: int = SEED, max_iter: int = 100,
 ) -> SegmentedCustomers:
     """Clean, trim, build the customer table and cluster it. ``ref`` defaults to the last day of
-    the raw lines."""
-    lines = trim_lines(clean(raw, home))
+    the raw lines. The clean lines are stored once: limits, baskets and sinks read them from there."""
+    lines = trim_lines(stored(clean(raw, home).hint("rebalance"), "clean-lines"))
     customers = kept_customers(lines, reference_date(raw) if ref is None else ref)
     return SegmentedCustomers(lines, segment(customers, k=k, restarts=restarts, seed=seed, max_iter=max_iter))

@@ -6,14 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan out over all cores if its files give fewer splits than there are cores (such as
-    one small file with a single row group). A scan with enough splits is left as it is, so a
-    large table is never shuffled here."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df
-
-
 def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
     """The 8-column invoice-line view (``schema.LINES``) over the parquet tables in ``folder``.
 
@@ -28,7 +20,6 @@ def retail_lines(spark: SparkSession, folder: str) -> DataFrame:
         "lineitem", "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
     )
-    items = spread(items, "l_orderkey", "l_linenumber")
     orders = table("orders", "o_orderkey", "o_custkey", "o_orderdate")
     parts = table("part", "p_partkey", "p_name")
     customers = table("customer", "c_custkey", "c_nationkey")

@@ -1,6 +1,8 @@
 """The three jobs one after the other, from raw lines to scored customers."""
 
 import os
+import subprocess
+import sys
 
 import pytest
 
@@ -27,3 +29,11 @@ def test_segment_train_score(spark, tmp_path):
     predictions = spark.read.parquet(f"{tmp_path}/scored/predictions")
     assert predictions.count() == 50
     assert spark.read.parquet(f"{tmp_path}/scored/confusion").count() == 9
+
+
+def test_jobs_start_from_another_folder(tmp_path):
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    done = subprocess.run(
+        [sys.executable, "-m", "basketry.jobs", "--help"], cwd=tmp_path, env=os.environ | {"PYTHONPATH": root}, capture_output=True, text=True
+    )
+    assert done.returncode == 0 and "horizons" in done.stdout

@@ -130,3 +130,31 @@ def test_csv_and_partitioned_parquet_round_trip(spark, history, tmp_path):
     files.write_table(history.select(*columns), f"{tmp_path}/p", partition_by="Year_Month")
     assert sorted(map(str, files.read_table(spark, f"{tmp_path}/c", CLEAN_LINES, "csv").collect())) == want
     assert sorted(map(str, files.read_table(spark, f"{tmp_path}/p", CLEAN_LINES).select(*columns).collect())) == want
+
+
+def test_csv_is_read_by_name(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from basketry.sources.files import read_table
+
+    schema = T.StructType.fromDDL("InvoiceNo string, Description string, InvoiceDate timestamp_ntz, CustomerID bigint, Quantity int")
+    (tmp_path / "a.csv").write_text(
+        'Unnamed: 0,Quantity,CustomerID,InvoiceNo,Description,InvoiceDate\n'
+        '0,6,17850.0,536365,"A ""RED"" BOX, LARGE",2010-12-01 08:26:00\n'
+        "1,-1,,C536379,,2010-12-01 09:41:00\n"
+    )
+    got = sorted(map(tuple, read_table(spark, str(tmp_path / "a.csv"), schema, "csv").collect()))
+    assert got[0][0] == "536365" and got[0][1] == 'A "RED" BOX, LARGE' and got[0][3:] == (17850, 6)
+    assert got[1][0] == "C536379" and got[1][1] is None and got[1][3:] == (None, -1)
+    (tmp_path / "b.csv").write_text(",InvoiceNo,Description,InvoiceDate,CustomerID,Quantity\n0,1,x,2010-12-01 08:26:00,1,2\n")
+    assert read_table(spark, str(tmp_path / "b.csv"), schema, "csv").count() == 1
+    header = "InvoiceNo,Description,InvoiceDate,CustomerID,Quantity\n"
+    for name, row in (("c", "1,x,2010-12-01 08:26:00,1,two"), ("d", "1,x,2010-12-01 08:26:00,1,2,3"), ("e", "1,x,2010-12-01 08:26:00,1.5,2")):
+        path = tmp_path / f"{name}.csv"
+        path.write_text(header + row + "\n")
+        with pytest.raises(ValueError, match="malformed"):
+            read_table(spark, str(path), schema, "csv")
+        assert read_table(spark, str(path), schema, "csv", allow_malformed=True).count() == 1
+    (tmp_path / "f.csv").write_text("InvoiceNo,Quantity\n1,2\n")
+    with pytest.raises(ValueError, match="no column"):
+        read_table(spark, str(tmp_path / "f.csv"), schema, "csv")

@@ -108,3 +108,13 @@ def test_correlation_matches_numpy(frame, values):
 def test_distinct_counts_null_once(spark):
     df = spark.createDataFrame([("a",), (None,), (None,), ("b",)], "c string")
     assert ex.distinct_values(df, "c").first().n == 3
+
+
+def test_correlations_are_pairwise(spark):
+    from basketry.operators.explore import correlations
+
+    rows = [(1.0, 2.0, None), (2.0, 1.0, 5.0), (3.0, 4.0, 7.0), (4.0, 3.0, 6.0)]
+    got = {(r.a, r.b): r.r for r in correlations(spark.createDataFrame([(*r, 1.0) for r in rows], "x double, y double, z double, c double"), ["x", "y", "z", "c"]).collect()}
+    assert got["x", "y"] == pytest.approx(np.corrcoef([r[0] for r in rows], [r[1] for r in rows])[0, 1])
+    assert got["x", "z"] == pytest.approx(np.corrcoef([2, 3, 4], [5, 7, 6])[0, 1])
+    assert got["x", "c"] is None
