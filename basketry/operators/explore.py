@@ -119,14 +119,17 @@ def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair (``a``, ``b``, ``r``), each over the rows where both are
     present, in one aggregate by pair with map-side combine; a constant column gives null."""
-    pair = [
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in combinations(columns, 2)
-    ]
+    names = F.array(*map(F.lit, columns))
+    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in combinations(range(len(columns)), 2)]
+    rows = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"), F.inline(F.array(*pairs)))
     x, y = F.col("x"), F.col("y")
-    spread = F.stddev_samp(F.when(y.isNotNull(), x)) * F.stddev_samp(F.when(x.isNotNull(), y))
-    r = F.nanvl(F.try_divide(F.covar_samp("x", "y"), spread), F.lit(None).cast("double"))
-    return df.select(F.inline(F.array(*pair))).groupBy("a", "b").agg(r.alias("r"))
+    deviations = F.stddev_samp(F.when(y.isNotNull(), x)) * F.stddev_samp(F.when(x.isNotNull(), y))
+    r = F.nanvl(F.try_divide(F.covar_samp("x", "y"), deviations), F.lit(None).cast("double"))
+    return (
+        rows.select("i", "j", F.get("v", "i").alias("x"), F.get("v", "j").alias("y"))
+        .groupBy("i", "j").agg(r.alias("r"))
+        .select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
+    )
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:
