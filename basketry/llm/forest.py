@@ -58,17 +58,38 @@ def _projected(trees: int, levels: int):
     return run
 
 
+def _leaf_components(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The first place reachable from each of ``n`` places over the pairs ``i, j``, given in both directions."""
+    first = np.arange(n)
+    while True:
+        before = first.copy()
+        np.minimum.at(first, i, before[j])
+        first = first[first]
+        if (first == before).all():
+            return first
+
+
 def _linked(least: float):
+    """The pairs of a leaf that link, and (``link`` false) every member with the first one of its component in
+    the leaf: what components need, in no more rows than members."""
+
     def run(leaf: pa.Table) -> pa.Table:
         ids = leaf.column("rep").to_numpy()
         units = _unit(_matrix(leaf.column("vec").combine_chunks()))
-        a, b = [], []
+        rows, columns = [], []
         for lo in range(0, len(ids), 256):
             i, j = np.nonzero(units[lo : lo + 256] @ units.T >= least)
-            i = i + lo
-            keep = ids[i] < ids[j]
-            a.append(ids[i[keep]]), b.append(ids[j[keep]])
-        return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+            rows.append(i + lo), columns.append(j)
+        i, j = np.concatenate(rows), np.concatenate(columns)
+        first = _leaf_components(len(ids), np.r_[i, j], np.r_[j, i])
+        pair, member = ids[i] < ids[j], first != np.arange(len(ids))
+        return pa.table(
+            {
+                "a": np.r_[ids[i[pair]], ids[member]],
+                "b": np.r_[ids[j[pair]], ids[first[member]]],
+                "link": np.repeat([True, False], [pair.sum(), member.sum()]),
+            }
+        )
 
     return run
 
@@ -134,12 +155,13 @@ def near_vectors(
         "classes",
     ).withColumn("dim", F.size("vec"))
     leaves = forest_leaves(classes.select("rep", "dim", "vec"), trees, leaf, spill)
-    links = stored(
+    edges = stored(
         leaves.join(classes.select("rep", "vec"), "rep")
-        .select("tree", "node", "rep", "vec").groupBy("tree", "node").applyInArrow(_linked(least), "a long, b long").distinct(),
+        .select("tree", "node", "rep", "vec").groupBy("tree", "node").applyInArrow(_linked(least), "a long, b long, link boolean").distinct(),
         "links",
     )
-    labels = connected_components(links)
+    links = edges.where("link").select("a", "b")
+    labels = connected_components(edges.where("NOT link"))
     sizes = classes.select("rep", "members")
     others = (
         links.union(links.select("b", "a")).join(sizes, F.col("b") == F.col("rep")).groupBy("a").agg(F.sum("members").alias("others"))
