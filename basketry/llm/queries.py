@@ -11,11 +11,15 @@ from basketry.llm.forest import near_vectors
 from basketry.llm.jaccard import jaccard_components
 from basketry.llm.lines import drop_common_lines
 from basketry.llm.mixing import mix_sources
+from basketry.llm.multi_index import nearest_vectors
 from basketry.llm.pitman_yor import score_documents
+from basketry.llm.prefix_trie import prefix_trie
 from basketry.llm.redirects import filter_pages
+from basketry.llm.repair import repair_conversations
 from basketry.llm.secrets import kind_count, scan_secrets, span_text
 from basketry.llm.surrogates import replace_private
 from basketry.llm.templates import find_contamination
+from basketry.llm.turns import joined_digests
 from basketry.llm.weak_labels import score_quality
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -91,6 +95,44 @@ def op10_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mix_sources(docs).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """The faults that the repair query plants, by ``crc32(conv_id:turn) % 20``: 0 drops a row, 1 empties its
+    text, 2 removes its ``[.!?]``, 3 repeats it, 4 sets the role user. Null columns are one space."""
+    or_space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat(or_space("conv_id"), F.lit(":"), or_space("turn")).cast("binary")) % 20
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate(or_space("text"), ".!?", "")).otherwise(or_space("text"))
+    return (
+        turns.select("conv_id", "turn", "role", "text", kind.alias("kind")).where("kind <> 0")
+        .withColumn("copy", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+        .select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(or_space("role")).alias("role"), text.alias("text"))
+    )
+
+
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    report, repaired = repair_conversations(damaged(turns))
+    parts = repaired.withColumns({"conv": F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), "part": F.concat("role", F.lit(":"), "text")})
+    digests = joined_digests(parts, ["conv"], ["cut", "k"], "part", "\n", "repaired_sha256")
+    every = turns.select("conv_id", F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")).alias("conv")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        every.join(report.withColumn("conv", F.coalesce(F.col("conv_id").cast("string"), F.lit(" "))).drop("conv_id"), "conv", "left")
+        .join(digests, "conv", "left")
+        .select(
+            "conv_id", *[F.when(F.col("audit").isNotNull(), F.col(c)).otherwise(0).cast("long").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
+def op12_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest_vectors(table(spark, folder, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(table(spark, folder, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_surrogates": op1_surrogates,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -102,6 +144,9 @@ QUERIES: dict[str, Query] = {
     "op8_weak_label_quality": op8_weak_label_quality,
     "op9_url_filter": op9_url_filter,
     "op10_mix_sources": op10_mix_sources,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_multi_index": op12_multi_index,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
 _WORD = r"[^\x20\x09-\x0D]+"
