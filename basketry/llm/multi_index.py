@@ -16,14 +16,14 @@ from basketry.materialize import stored
 
 NEAREST = 20
 #: Rows the rotations, the radius and the lower bounds of the queries are fitted on: about this many.
-SAMPLE_ROWS = 4_096
+SAMPLE_ROWS = 8_192
 #: A code is this many substrings of 64 bits; each substring has an index of its own.
 TABLES = 4
 WORD = 64
 BITS = TABLES * WORD
 ITERATIONS = 30
 #: Share of the sample's near pairs whose codes lie within the radius.
-WITHIN = 0.98
+WITHIN = 0.9
 #: Rows and queries that meet in one task.
 GROUP_ROWS = 16_384
 SEED = 12
@@ -78,7 +78,7 @@ class Fitted:
         self.largest, self.nearest = largest, nearest
         self.items = _augmented(sample, largest)
         self.rotations = learned_rotations(self.items)
-        ask = _unit_queries(sample[: max(1, SAMPLE_ROWS // 8)])
+        ask = _unit_queries(sample[:512])
         cosines = ask @ self.items.T
         apart = distances(codes(ask, self.rotations)[:, None], codes(self.items, self.rotations)[None])
         floor = self._floors(cosines)
