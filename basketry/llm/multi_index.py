@@ -23,7 +23,7 @@ WORD = 64
 BITS = TABLES * WORD
 ITERATIONS = 30
 #: Share of the sample's near pairs whose codes lie within the radius.
-WITHIN = 0.9
+WITHIN = 0.95
 #: Rows and queries that meet in one task.
 GROUP_ROWS = 16_384
 SEED = 12
