@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from basketry.llm.conversation_sql import REPAIR, TRIE
 from basketry.llm.forest import near_vectors
 from basketry.llm.jaccard import jaccard_components
 from basketry.llm.lines import drop_common_lines
@@ -149,9 +150,12 @@ QUERIES: dict[str, Query] = {
     "op13_prefix_trie": op13_prefix_trie,
 }
 
+#: Made in SQL by other means: dynamic programming row by row, and sums over the ancestors of every node.
+_CONVERSATIONS = {"op11_conversation_repair": REPAIR, "op13_prefix_trie": TRIE}
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
-ORACLE: dict[str, str] = {
+ORACLE: dict[str, str] = _CONVERSATIONS | {
     "op2_ngram_jaccard": rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
