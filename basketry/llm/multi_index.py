@@ -26,6 +26,8 @@ ITERATIONS = 30
 WITHIN = 0.95
 #: Rows and queries that meet in one task.
 GROUP_ROWS = 16_384
+#: Pairs of a query and a substring that a task looks at together.
+PROBED_TOGETHER = 1 << 17
 SEED = 12
 
 
@@ -150,8 +152,10 @@ def _indexed(fits: dict[int, Fitted], bits: int):
 
 
 def _asked(fits: dict[int, Fitted], bits: int):
-    """Every query under all prefixes that a substring within its share of the radius can have: a code within
-    ``radius`` has a substring within ``radius // TABLES``, and so a prefix within it."""
+    """Every query under all prefixes that a substring within its share of the radius can have.
+
+    The share of substring t is ``(radius - t) // TABLES``: were every substring of a code beyond its share, the
+    code would be beyond the radius. A prefix lies no farther than its substring."""
     every = np.arange(1 << bits, dtype=np.int64)
     some = max(1, (1 << 22) >> bits)
 
@@ -163,7 +167,7 @@ def _asked(fits: dict[int, Fitted], bits: int):
                     own, radius = codes(ask, fits[dim].rotations), fits[dim].radius(ask)
                     packed = _binary(own)
                     for tab in range(TABLES):
-                        reach = np.bitwise_count(_prefixes(own[:, tab], bits)[:, None] ^ every) <= (radius // TABLES)[:, None]
+                        reach = np.bitwise_count(_prefixes(own[:, tab], bits)[:, None] ^ every) <= ((radius - tab) // TABLES)[:, None]
                         at, prefix = np.nonzero(reach)
                         pick, n = pa.array(at), len(at)
                         yield pa.RecordBatch.from_arrays(
@@ -198,38 +202,52 @@ def _words(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), U64).reshape(-1, TABLES)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """All places from each start on, as many as each size says."""
+    return np.repeat(starts - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+
+
 def _answered(nearest: int):
     """Queries against the rows under one prefix: the index of the substring is probed with the share of the radius,
     whole codes are checked against the radius, and what is left is ranked by the vectors. A pair belongs to the
     first substring that finds it. Ties go to the smaller id."""
 
     def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        ids, asks, scores = [], [], []
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         if rows.num_rows and asked.num_rows:
             tab = rows.column("tab")[0].as_py()
-            reps, own, vectors = rows.column("rep").to_numpy(), _words(rows.column("code")), _matrix(rows.column("vec"))
-            directory, place = np.unique(own[:, tab], return_inverse=True)
-            order = np.argsort(place, kind="stable")
-            starts = np.searchsorted(place[order], np.arange(len(directory) + 1))
-            wanted = zip(asked.column("rep").to_pylist(), asked.column("radius").to_pylist(), _words(asked.column("code")), _matrix(asked.column("vec")), strict=True)
-            for rep, radius, code, vector in wanted:
-                share = radius // TABLES
-                hit = np.flatnonzero(np.bitwise_count(directory ^ code[tab]) <= share)
-                if len(directory) == len(order):
-                    found = order[hit]
-                else:
-                    found = np.concatenate([order[starts[h] : starts[h + 1]] for h in hit]) if len(hit) else hit
-                apart = np.bitwise_count(own[found] ^ code)
-                found = found[(apart.sum(1, dtype=np.int64) <= radius) & (apart[:, :tab] > share).all(1)]
-                if not len(found):
-                    continue
-                near = (vectors[found] * vector).sum(1)
-                best = np.lexsort((reps[found], -near))[: nearest + 1]
-                ids.append(reps[found[best]])
-                scores.append(near[best])
-                asks.append(np.full(len(best), rep))
-        flat = lambda parts, kind: np.concatenate(parts).astype(kind) if parts else np.zeros(0, kind)
-        return pa.table({"ask": flat(asks, np.int64), "rep": flat(ids, np.int64), "score": flat(scores, np.float64)})
+            own = _words(rows.column("code"))
+            order = np.argsort(own[:, tab], kind="stable")
+            own, reps, vectors = own[order], rows.column("rep").to_numpy()[order], _matrix(rows.column("vec"))[order]
+            directory, first = np.unique(own[:, tab], return_index=True)
+            sizes = np.diff(np.r_[first, len(own)])
+            asks, radius = asked.column("rep").to_numpy(), asked.column("radius").to_numpy().astype(np.int64)
+            wanted, points = _words(asked.column("code")), _matrix(asked.column("vec"))
+            shares = [((radius - t) // TABLES).astype(np.int16) for t in range(tab + 1)]
+            share = shares[tab]
+            own_words, wanted_words = [[np.ascontiguousarray(w) for w in a.T] for a in (own, wanted)]
+            some = max(1, PROBED_TOGETHER // len(directory))
+            for lo in range(0, len(asks), some):
+                near_words = np.bitwise_count(directory ^ wanted[lo : lo + some, tab, None]) <= share[lo : lo + some, None]
+                q, hit = np.divmod(np.flatnonzero(near_words).astype(np.int32), np.int32(len(directory)))
+                if len(directory) < len(own):
+                    q, hit = np.repeat(q, sizes[hit]), _ranges(first[hit], sizes[hit])
+                for cut in range(0, len(q), PROBED_TOGETHER):
+                    i, j = q[cut : cut + PROBED_TOGETHER] + lo, hit[cut : cut + PROBED_TOGETHER]
+                    # Word by word: takes along one array are much quicker than takes of rows.
+                    apart = [np.bitwise_count(words[j] ^ asked_words[i]) for words, asked_words in zip(own_words, wanted_words, strict=True)]
+                    good = sum(a.astype(np.int16) for a in apart) <= radius[i]
+                    for before, a in zip(shares, apart[:tab]):
+                        good &= a > before[i]
+                    i, j = i[good], j[good]
+                    near = np.einsum("ij,ij->i", vectors[j], points[i])
+                    best = np.lexsort((reps[j], -near, i))
+                    i, j, near = i[best], j[best], near[best]
+                    starts = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+                    kept = np.arange(len(i)) - np.repeat(starts, np.diff(np.r_[starts, len(i)])) <= nearest if len(i) else slice(0)
+                    out.append((asks[i[kept]], reps[j[kept]], near[kept]))
+        ask, rep, score = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.table({"ask": ask, "rep": rep, "score": score})
 
     return run
 
