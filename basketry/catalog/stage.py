@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from basketry.materialize import stored
 from basketry.operators.baskets import baskets
 from basketry.operators.cleaning import clean, trim_customers, trim_lines
 from basketry.operators.customers import customer_table, reference_date
-from basketry.schema import SEED
+from basketry.schema import CLEAN_LINES, MEASURES, SEED
 from basketry.sources.retail import labelled_vectors, retail_lines
 
 HOME = "NATION_7"
@@ -21,8 +22,10 @@ HOME = "NATION_7"
 class Stage:
     """Lazily derived tables; each is built at most once per query."""
 
-    def __init__(self, spark: SparkSession, folder: str):
+    def __init__(self, spark: SparkSession, folder: str, columns: Sequence[str] = ()):
+        """``columns``: what the query uses of the clean lines (all of them if empty)."""
         self.spark, self.folder, self.seed = spark, folder, SEED
+        self.columns = list(dict.fromkeys([*columns, *MEASURES])) if columns else [f.name for f in CLEAN_LINES.fields]
 
     @cached_property
     def raw(self) -> DataFrame:
@@ -36,10 +39,14 @@ class Stage:
     def cleaned(self) -> DataFrame:
         return clean(self.raw, HOME)
 
+    def stored_lines(self, *columns: str) -> DataFrame:
+        """Some columns of the untrimmed clean lines, stored once, in files of even size."""
+        return stored(self.cleaned.select(*columns).hint("rebalance"), "clean-lines")
+
     @cached_property
     def lines(self) -> DataFrame:
-        """Limits, baskets and features read the stored clean lines, not the joins behind them."""
-        return trim_lines(stored(self.cleaned.hint("rebalance"), "clean-lines"))
+        """Limits, baskets and features read the stored columns, not the joins behind them."""
+        return trim_lines(self.stored_lines(*self.columns))
 
     @cached_property
     def baskets(self) -> DataFrame:

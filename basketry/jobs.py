@@ -29,7 +29,7 @@ from basketry.operators.features import assemble_features, first_basket_features
 from basketry.plans.prediction import compare_baselines, first_purchase_model, horizon_model, horizon_sweep
 from basketry.plans.scoring import batch_score
 from basketry.plans.segmentation import segment_customers
-from basketry.schema import CLEAN_LINES, CLUSTER_COLUMNS, CUSTOMERS, FIRST_BASKET_COLUMNS, LINES, SEED
+from basketry.schema import CLEAN_LINES, CLUSTER_COLUMNS, CUSTOMERS, FIRST_BASKET_COLUMNS, HORIZON_COLUMNS, LINES, MONTH_COLUMNS, SEED
 from basketry.sources.files import read_table, write_table
 
 JOBS = ("segment", "sweep", "profile", "first-purchase", "baselines", "horizons", "train", "score")
@@ -58,7 +58,7 @@ def arguments(argv=None) -> argparse.Namespace:
             job.add_argument("--format", default="parquet")
             job.add_argument("--home", default=HOME_COUNTRY)
             job.add_argument("--k", type=int, default=5)
-            job.add_argument("--restarts", type=int, default=10)
+            job.add_argument("--restarts", type=int, default=300)
         if name == "sweep":
             job.add_argument("--most", type=int, default=24)
             job.add_argument("--restarts", type=int, default=20)
@@ -92,7 +92,8 @@ def run(spark: SparkSession, args: argparse.Namespace, grids=None, knn_grid=tupl
         write_table(horizon_sweep(lines, customers, args.ref, range(args.classes), **options), args.out)
     elif args.job == "train":
         model = horizon_model(lines, customers, args.ref, args.horizon, **options)
-        save_bundle(spark, args.models, args.horizon, model.scaler, model.vote)
+        scores = model.grid_scores.collect()  # one row per grid point
+        save_bundle(spark, args.models, args.horizon, model.scaler, model.vote, [*HORIZON_COLUMNS, *MONTH_COLUMNS], scores)
     else:
         report = batch_score(
             lines, customers, args.ref, args.models, range(args.classes), args.horizon, args.sample, args.seed

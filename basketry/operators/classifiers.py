@@ -1,23 +1,26 @@
-"""Classifiers, grid search and the majority vote, on MLlib."""
+"""Classifiers, grid search, the majority vote and its storage."""
 
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass
+from hashlib import sha256
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, OneVsRestModel
+from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import majority
+from basketry.materialize import checkpointed
+from basketry.operators.boosting import BoostedModel, search_boosted
+from basketry.operators.linear import LinearModel, search_linear
 from basketry.operators.neighbours import knn_votes, nearest
 from basketry.operators.sampling import stratified_folds
 from basketry.operators.scaling import Scaler
 from basketry.schema import SEED
+from basketry.sources.files import write_table
 
 
 def _log_space(lo: float, hi: float, n: int) -> list[float]:
@@ -27,97 +30,50 @@ def _log_space(lo: float, hi: float, n: int) -> list[float]:
 # The published search grids.
 KNN_GRID = [{"k": k, "weights": w, "p": p} for k in range(5, 71, 5) for w in ("uniform", "distance") for p in (1, 2)]
 LOGISTIC_GRID = [{"C": c, "penalty": q} for c in _log_space(-3, 1, 10) for q in ("l1", "l2")]
-SVM_GRID = [{"C": c} for c in _log_space(-3, 1, 8)]
+SVM_GRID = [{"C": c, "penalty": q} for c in _log_space(-3, 1, 8) for q in ("l1", "l2")]
 BOOSTED_GRID = [
     {"learning_rate": r, "n_estimators": n, "max_depth": d}
     for r in _log_space(-3, 0, 4)
     for n in (10, 100, 300)
     for d in (2, 3)
 ]
-
-
-def logistic(params: dict, rows: int) -> OneVsRest:
-    """One-vs-rest logistic regression; strength C over ``rows`` training rows is 1 / (C * rows)."""
-    return OneVsRest(
-        classifier=LogisticRegression(
-            maxIter=params.get("max_iter", 500),
-            regParam=1.0 / (params["C"] * rows),
-            elasticNetParam=1.0 if params.get("penalty", "l2") == "l1" else 0.0,
-            standardization=False,
-        ),
-        labelCol="label",
-    )
-
-
-def linear_svm(params: dict, rows: int) -> OneVsRest:
-    """One-vs-rest linear support vector classifier, L2 penalty."""
-    return OneVsRest(
-        classifier=LinearSVC(
-            maxIter=params.get("max_iter", 100), regParam=1.0 / (params["C"] * rows), standardization=False
-        ),
-        labelCol="label",
-    )
-
-
-def boosted_trees(params: dict, rows: int) -> OneVsRest:
-    """One-vs-rest gradient-boosted trees with logistic loss."""
-    return OneVsRest(
-        classifier=GBTClassifier(
-            maxIter=params["n_estimators"], maxDepth=params["max_depth"], stepSize=params["learning_rate"], seed=SEED
-        ),
-        labelCol="label",
-    )
-
-
 # The voters, in the order of the vote. Nearest neighbours are compared but do not vote.
-VOTERS: dict[str, Callable[[dict, int], OneVsRest]] = {
-    "gbt": boosted_trees,
-    "lr": logistic,
-    "svm": linear_svm,
-}
 GRIDS = {"gbt": BOOSTED_GRID, "lr": LOGISTIC_GRID, "svm": SVM_GRID}
+VOTERS = tuple(GRIDS)
+
+
+def search_voter(name: str, data: DataFrame, grid: Sequence[dict], folds: int) -> dict:
+    """The search of one voter over every part of ``data`` (``part, label, fold, vec``): boosted trees on the deviance of
+    the softmax, logistic regression, or a linear support vector classifier with squared hinge loss."""
+    if name == "gbt":
+        return search_boosted(data, grid, folds)
+    return search_linear(data, {"lr": "logistic", "svm": "squared_hinge"}[name], grid, folds)
 
 
 def model_input(df: DataFrame, columns: Sequence[str], id_col: str = "CustomerID", label: str = "Label") -> DataFrame:
     """``id``, ``label`` (double), ``vec`` (array) and ``features`` (vector), plus carried flags."""
-    carried = [c for c in ("is_test", "fold", "horizon") if c in df.columns]
+    carried = [c for c in ("is_test", "fold", "part") if c in df.columns]
     vec = F.array(*[F.col(c).cast("double") for c in columns])
     return df.select(
         F.col(id_col).alias("id"), F.col(label).cast("double").alias("label"), vec.alias("vec"), *carried
     ).withColumn("features", array_to_vector("vec"))
 
 
-def grid_search(
-    train: DataFrame, build: Callable[[dict, int], OneVsRest], grid: Sequence[dict],
-    folds: int = 5, parallelism: int = 4, seed: int = SEED,
-) -> tuple[dict, list[tuple[dict, float]]]:
-    """Stratified cross-validation of every grid point by accuracy.
+def folded(train: DataFrame, folds: int, seed: int = SEED) -> DataFrame:
+    """``part, label, fold, vec`` of the training rows, stored for many passes. Without a column ``part`` all rows are one
+    part; without folds every row is in fold 0."""
+    rows = train if "part" in train.columns else train.withColumn("part", F.lit(0))
+    dealt = stratified_folds(rows, "id", "label", folds, seed, by=["part"]) if folds else rows.withColumn("fold", F.lit(0))
+    return checkpointed(dealt.select(F.col("part").cast("int"), "label", "fold", "vec"))
+
 
-    Returns the best parameters (first of equals) and the mean score per grid point. The folds are
-    a column of the persisted training table; up to ``parallelism`` fits run side by side.
+def grid_search(name: str, train: DataFrame, grid: Sequence[dict], folds: int = 5, seed: int = SEED) -> tuple[dict, list[tuple[dict, float]]]:
+    """Stratified cross-validation of every grid point of a voter by accuracy, over the rows of ``train`` (``id, label, vec``).
+
+    Returns the best parameters (first of equals) and the mean score per grid point.
     """
-    spark = train.sparkSession
-    folded = stratified_folds(train, "id", "label", folds, seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        sizes = {r[0]: r[1] for r in folded.groupBy("fold").count().collect()}
-        rows = sum(sizes.values())
-
-        def score(task: tuple[int, int]) -> float:
-            point, fold = task
-            model = build(grid[point], rows - sizes[fold]).fit(folded.where(F.col("fold") != fold))
-            held = model.transform(folded.where(F.col("fold") == fold))
-            return held.agg(F.avg((F.col("prediction") == F.col("label")).cast("double"))).first()[0]
-
-        tasks = [(i, f) for i in range(len(grid)) for f in sorted(sizes)]
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            scores = list(pool.map(inheritable_thread_target(spark)(score), tasks))
-    finally:
-        folded.unpersist()
-    means = [
-        sum(s for (i, _), s in zip(tasks, scores) if i == point) / len(sizes) for point in range(len(grid))
-    ]
-    best = max(range(len(grid)), key=lambda i: (means[i], -i))
-    return grid[best], list(zip(grid, means))
+    found = search_voter(name, folded(train, folds, seed), grid, folds)[0]
+    return grid[found.best], list(zip(grid, found.scores, strict=True))
 
 
 def knn_grid_search(
@@ -161,25 +117,16 @@ def grid_table(spark: SparkSession, model: str, scores: Sequence[tuple[dict, flo
 
 @dataclass
 class VoteModel:
-    """The three fitted voters. All of them score the same row in one pass; no join is needed."""
+    """The fitted voters. All of them score the same row in one pass; no join is needed."""
 
-    members: dict[str, OneVsRestModel]
+    members: dict[str, LinearModel | BoostedModel]
 
     def transform(self, data: DataFrame) -> DataFrame:
         out = data
         for name, model in self.members.items():
-            out = model.transform(out).withColumn(f"pred_{name}", F.col("prediction").cast("int"))
-            out = out.drop("prediction", "rawPrediction")
+            out = model.transform(out).withColumnRenamed("prediction", f"pred_{name}")
         return hard_vote(out, [f"pred_{name}" for name in self.members])
 
-    def save(self, path: str) -> None:
-        for name, model in self.members.items():
-            model.write().overwrite().save(f"{path}/{name}")
-
-    @classmethod
-    def load(cls, path: str, names: Sequence[str] = tuple(VOTERS)) -> VoteModel:
-        return cls({name: OneVsRestModel.load(f"{path}/{name}") for name in names})
-
 
 def hard_vote(predictions: DataFrame, members: Sequence[str]) -> DataFrame:
     """Add ``prediction``: the majority of the member columns of each row, ties to the smallest."""
@@ -187,37 +134,71 @@ def hard_vote(predictions: DataFrame, members: Sequence[str]) -> DataFrame:
     return voted.withColumn("prediction", majority(F.col("_votes"))).drop("_votes")
 
 
-def fit_vote(
-    train: DataFrame, grids: dict[str, Sequence[dict]] | None = None,
-    folds: int = 5, parallelism: int = 4, seed: int = SEED,
-) -> tuple[VoteModel, DataFrame]:
-    """Grid-search each voter, refit it once on all training rows, and return the vote with the
+def fit_votes(
+    train: DataFrame, grids: dict[str, Sequence[dict]] | None = None, folds: int = 5, seed: int = SEED
+) -> tuple[dict[int, VoteModel], DataFrame]:
+    """A vote per part of ``train`` (``id, label, vec``, and ``part`` if there are several): each voter's grid is searched
+    over all parts together and the best point of each part, fitted on all its rows, votes. Also the
     scores of all grid points. A grid of one point is fitted without a search."""
     grids = grids or GRIDS
-    spark = train.sparkSession
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    members, tables = {}, []
-    try:
-        rows = train.count()
-        for name, build in VOTERS.items():
-            best, scores = grids[name][0], []
-            if len(grids[name]) > 1:
-                best, scores = grid_search(train, build, grids[name], folds, parallelism, seed)
-            tables += [(name, json.dumps(p, sort_keys=True), float(s)) for p, s in scores]
-            members[name] = build(best, rows).fit(train)
-    finally:
-        train.unpersist()
-    return VoteModel(members), spark.createDataFrame(tables, "model string, params string, score double")
-
+    members: dict[int, dict] = {}
+    table = []
+    searched, whole = None, None
+    for name in VOTERS:
+        grid = grids[name]
+        if len(grid) > 1:
+            searched = folded(train, folds, seed) if searched is None else searched
+            found = search_voter(name, searched, grid, folds)
+            table += [(p, name, json.dumps(g, sort_keys=True), float(x)) for p, s in found.items() for g, x in zip(grid, s.scores, strict=True)]
+        else:
+            whole = folded(train, 0) if whole is None else whole
+            found = search_voter(name, whole, grid, 0)
+        for p, s in found.items():
+            members.setdefault(p, {})[name] = s.models[s.best if s.scores else 0]
+    scores = train.sparkSession.createDataFrame(table, "part int, model string, params string, score double")
+    return {p: VoteModel(m) for p, m in members.items()}, scores
 
-def save_bundle(spark: SparkSession, path: str, horizon: int, scaler: Scaler, vote: VoteModel) -> None:
-    """Store scaler and voters of one horizon below ``path``."""
-    scaler.save(spark, f"{path}/horizon={horizon}/scaler")
-    vote.save(f"{path}/horizon={horizon}/vote")
 
-
-def load_bundle(spark: SparkSession, path: str, horizon: int) -> tuple[Scaler, VoteModel]:
-    return (
-        Scaler.load(spark, f"{path}/horizon={horizon}/scaler"),
-        VoteModel.load(f"{path}/horizon={horizon}/vote"),
-    )
+def fit_vote(
+    train: DataFrame, grids: dict[str, Sequence[dict]] | None = None, folds: int = 5, seed: int = SEED
+) -> tuple[VoteModel, DataFrame]:
+    """``fit_votes`` for training rows that are one part."""
+    votes, scores = fit_votes(train.drop("part"), grids, folds, seed)
+    return votes[0], scores.drop("part")
+
+
+_KINDS = {"linear": LinearModel, "boosted": BoostedModel}
+_BUNDLE = "name string, sha256 string, payload string"
+
+
+def _digest(text: str) -> str:
+    return sha256(text.encode()).hexdigest()
+
+
+def save_bundle(
+    spark: SparkSession, path: str, horizon: int, scaler: Scaler, vote: VoteModel, columns: Sequence[str], scores: Sequence[tuple] = ()
+) -> None:
+    """Store what scoring at one horizon needs below ``path``: the scaler, the voters, the input columns in order and the grid
+    scores, with a manifest of their content hashes."""
+    parts = {"scaler": json.dumps(scaler.stats), "columns": json.dumps(list(columns)), "grid_scores": json.dumps([list(s) for s in scores])}
+    parts |= {f"member:{name}": model.to_json() for name, model in vote.members.items()}
+    manifest = json.dumps({"horizon": horizon, "members": list(vote.members), "sha256": {k: _digest(v) for k, v in parts.items()}})
+    rows = [(k, _digest(v), v) for k, v in (parts | {"manifest": manifest}).items()]
+    write_table(spark.createDataFrame(rows, _BUNDLE).coalesce(1), f"{path}/horizon={horizon}")
+
+
+def load_bundle(spark: SparkSession, path: str, horizon: int, columns: Sequence[str]) -> tuple[Scaler, VoteModel]:
+    """Scaler and vote as stored. Raises if a part is missing or not what the manifest says, or if the model was fitted on other
+    columns, or the same in another order, than ``columns``."""
+    parts = {r["name"]: r["payload"] for r in spark.read.parquet(f"{path}/horizon={horizon}").collect()}  # a few rows
+    manifest = json.loads(parts["manifest"])
+    wrong = [k for k, want in manifest["sha256"].items() if k not in parts or _digest(parts[k]) != want]
+    if wrong or manifest["horizon"] != horizon:
+        raise ValueError(f"stored model does not match its manifest: {wrong or manifest['horizon']}")
+    if json.loads(parts["columns"]) != list(columns):
+        raise ValueError("the model was fitted on other columns")
+    members = {}
+    for name in manifest["members"]:
+        payload = parts[f"member:{name}"]
+        members[name] = _KINDS[json.loads(payload)["kind"]].from_json(payload)
+    return Scaler({c: (m, s) for c, (m, s) in json.loads(parts["scaler"]).items()}), VoteModel(members)

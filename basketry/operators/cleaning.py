@@ -43,7 +43,7 @@ def upper_codes(lines: DataFrame) -> DataFrame:
 
 def cast_integers(lines: DataFrame) -> DataFrame:
     return lines.withColumns(
-        {"Quantity": F.col("Quantity").cast("int"), "CustomerID": F.col("CustomerID").cast("bigint")}
+        {"Quantity": F.col("Quantity").try_cast("int"), "CustomerID": F.col("CustomerID").try_cast("bigint")}
     )
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import dot, manhattan_distance, squared_distance, squared_norm, standardised
+from basketry.materialize import checkpointed
+from basketry.operators.kmeans import best_runs, clustering_scores, pack_rows
 from basketry.operators.scaling import Scaler
 from basketry.schema import CLUSTER_COLUMNS, SEED
 
@@ -31,46 +33,27 @@ def scaled_columns(columns: Sequence[str], scaler: Scaler) -> list[Column]:
     return [standardised(F.col(c), *scaler.stats[c]) for c in columns]
 
 
-def best_kmeans(
-    vectors: DataFrame, k: int, restarts: int = 10, seed: int = SEED, max_iter: int = 100
-) -> KMeansModel:
-    """The cheapest of ``restarts`` runs. ``vectors`` is read many times: persist it first."""
-    best = None
-    for i in range(restarts):
-        model = KMeans(k=k, initMode="k-means||", seed=seed + i, maxIter=max_iter, featuresCol="features").fit(vectors)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
-
-
 def segment(
     customers: DataFrame,
     columns: Sequence[str] = CLUSTER_COLUMNS,
     k: int = 5,
-    restarts: int = 10,
+    restarts: int = 300,
     seed: int = SEED,
     rank_by: str = "Amount",
     max_iter: int = 100,
 ) -> Segmentation:
-    """Add ``Label``: k-means on standardised columns. Labels are numbered by falling mean of
-    ``rank_by``, so that they keep their meaning between runs."""
+    """Add ``Label``: k-means on standardised columns, the cheapest of ``restarts`` runs, which share their passes over the
+    rows. Labels are numbered by falling mean of ``rank_by``, so that they keep their meaning between runs."""
     scaler = Scaler.fit(customers, list(columns))
-    vectors = (
-        customers.withColumn("features", array_to_vector(F.array(*scaled_columns(columns, scaler))))
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    )
-    try:
-        model = best_kmeans(vectors, k, restarts, seed, max_iter)
-        assigned = model.transform(vectors)
-        means = assigned.groupBy("prediction").agg(F.avg(rank_by).alias("m")).collect()
-    finally:
-        vectors.unpersist()
-    ordered = [r["prediction"] for r in sorted(means, key=lambda r: (-r["m"], r["prediction"]))]
-    ordered += [c for c in range(len(model.clusterCenters())) if c not in ordered]
+    vectors = customers.withColumn("_vec", F.array(*scaled_columns(columns, scaler)))
+    run = best_runs(pack_rows(vectors, "_vec"), [k], restarts, seed, max_iter)[k]
+    assigned = assign_nearest(vectors, "_vec", dict(enumerate(run.centres.tolist())), name="_cluster")
+    means = assigned.groupBy("_cluster").agg(F.avg(rank_by).alias("m")).collect()
+    ordered = [r["_cluster"] for r in sorted(means, key=lambda r: (-r["m"], r["_cluster"]))]
+    ordered += [c for c in range(len(run.centres)) if c not in ordered]
     number = F.array(*[F.lit(ordered.index(c)) for c in range(len(ordered))])
-    labelled = assigned.withColumn("Label", number[F.col("prediction")]).drop("features", "prediction")
-    centres = [list(map(float, model.clusterCenters()[c])) for c in ordered]
-    return Segmentation(labelled, model.summary.trainingCost, centres, scaler)
+    labelled = assigned.withColumn("Label", number[F.col("_cluster")]).drop("_vec", "_cluster")
+    return Segmentation(labelled, run.cost, [list(map(float, run.centres[c])) for c in ordered], scaler)
 
 
 def cluster_moments(df: DataFrame, vec: str, label: str) -> DataFrame:
@@ -135,6 +118,63 @@ def silhouette(df: DataFrame, vec: str, label: str) -> DataFrame:
     return scored.agg(F.avg(score).alias("score"))
 
 
+#: Rows up to which the quadratic silhouette is offered: it compares every block of rows with every other one.
+EUCLIDEAN_ROWS = 200_000
+
+
+def euclidean_silhouette(df: DataFrame, vec: str, label: str, most_rows: int = EUCLIDEAN_ROWS, block_rows: int = 1_024) -> DataFrame:
+    """Mean silhouette with plain Euclidean distance, exact.
+
+    The mean distance from a row to a cluster has no short form, so every row meets every other one: blocks
+    of rows are joined with blocks, and a pair of blocks returns one sum per row and cluster, never a pair
+    of rows. The work is quadratic; a table of more than ``most_rows`` rows is refused. Rows alone in their cluster score 0.
+    """
+    n = df.count()
+    if n > most_rows:
+        raise ValueError(f"{n} rows; the quadratic silhouette takes at most {most_rows}")
+    labels = sorted(r[0] for r in df.select(label).distinct().collect())
+    number = F.create_map(*[F.lit(x) for i, c in enumerate(labels) for x in (c, i)]) if labels else F.lit(0)
+    count = max(1, -(-n // block_rows))
+    rows = df.select(F.col(vec).alias("v"), (number[F.col(label)] if labels else number).cast("int").alias("l"))
+    numbered = rows.withColumn("b", F.pmod(F.xxhash64("v", F.monotonically_increasing_id()), F.lit(count)).cast("int"))
+    blocks = checkpointed(numbered.groupBy("b").agg(F.collect_list(F.struct("v", "l")).alias("rows")).select("b", F.col("rows.v").alias("v"), F.col("rows.l").alias("l")))
+    left = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    right = blocks.select(F.col("b").alias("other"), F.col("v").alias("w"), F.col("l").alias("m"))
+    k = len(labels)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                x, y, own = np.array(r["v"], float), np.array(r["w"], float), np.array(r["m"])
+                out = np.zeros((len(x), k))
+                for lo in range(0, len(x), 64):
+                    far = np.sqrt(((x[lo : lo + 64, None] - y) ** 2).sum(2))
+                    for c in range(k):
+                        out[lo : lo + 64, c] = far[:, own == c].sum(1)
+                yield pa.RecordBatch.from_arrays([pa.array([r["b"]], pa.int32()), pa.array([out.ravel()], pa.list_(pa.float64()))], ["b", "sums"])
+
+    met = left.join(right, "other").select("b", "v", "w", "m").mapInArrow(sums, "b int, sums array<double>")
+    whole = met.groupBy("b").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
+    sizes = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_of = np.array([sizes[c] for c in range(k)], float)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                own, far = np.array(r["l"]), np.array(r["sums"]).reshape(-1, k)
+                at = np.arange(len(own))
+                a = far[at, own] / np.maximum(n_of[own] - 1, 1)
+                others = far / n_of
+                others[at, own] = np.inf
+                b = others.min(1)
+                top = np.maximum(a, b)
+                s = np.where((n_of[own] == 1) | ~np.isfinite(b) | (top <= 0), 0.0, (b - a) / np.where(top > 0, top, 1))
+                yield pa.RecordBatch.from_arrays([pa.array([s.sum()], pa.float64()), pa.array([len(s)], pa.int64())], ["s", "n"])
+
+    scored = whole.join(blocks.select("b", "l"), "b").select("l", "sums").mapInArrow(scores, "s double, n long")
+    return scored.agg(F.try_divide(F.sum("s"), F.sum("n")).alias("score"))
+
+
 def k_sweep(
     customers: DataFrame,
     ks: Sequence[int] = range(2, 25),
@@ -143,24 +183,12 @@ def k_sweep(
     seed: int = SEED,
     max_iter: int = 100,
 ) -> DataFrame:
-    """``k``, ``silhouette`` and ``calinski_harabasz`` of the best clustering for every k."""
+    """``k``, ``silhouette`` and ``calinski_harabasz`` of the best clustering for every k; all runs share their passes."""
     scaler = Scaler.fit(customers, list(columns))
-    scaled = scaled_columns(columns, scaler)
-    vectors = customers.select(F.array(*scaled).alias("vec")).withColumn("features", array_to_vector("vec"))
-    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    try:
-        for k in ks:
-            assigned = best_kmeans(vectors, k, restarts, seed, max_iter).transform(vectors)
-            rows.append(
-                (
-                    k,
-                    silhouette(assigned, "vec", "prediction").first()[0],
-                    calinski_harabasz(assigned, "vec", "prediction").first()[0],
-                )
-            )
-    finally:
-        vectors.unpersist()
+    blocks = pack_rows(customers.select(F.array(*scaled_columns(columns, scaler)).alias("vec")))
+    best = best_runs(blocks, list(ks), restarts, seed, max_iter)
+    scores = clustering_scores(blocks, {k: r.centres for k, r in best.items()})
+    rows = [(k, *scores.get(k, (None, None))) for k in ks]
     return customers.sparkSession.createDataFrame(rows, "k int, silhouette double, calinski_harabasz double")
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations, combinations_with_replacement
 
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import bin_number
+from basketry.materialize import checkpointed
 from basketry.operators.baskets import KEY, total
 from basketry.operators.ordered import running_total
 from basketry.operators.quantiles import exact_quantiles
@@ -76,7 +82,7 @@ def revenue_total(lines: DataFrame) -> DataFrame:
 
 def revenue_share(lines: DataFrame, by: str = "Country") -> DataFrame:
     """Revenue per group and its share of the total in percent (one decimal), largest first."""
-    groups = lines.groupBy(by).agg(total("Amount").alias("Amount"))
+    groups = checkpointed(lines.groupBy(by).agg(total("Amount").alias("Amount")))
     whole = groups.agg(F.sum("Amount").alias("all")).scalar()
     share = F.round(F.try_divide("Amount", whole), 3) * 100
     return groups.withColumn("Share", share).orderBy(F.desc("Amount"), by)
@@ -118,18 +124,43 @@ def histogram(df: DataFrame, bins: dict[str, int]) -> DataFrame:
 
 def correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlation of every column pair (``a``, ``b``, ``r``), each over the rows where both are
-    present, in one aggregate by pair with map-side combine; a constant column gives null."""
-    names = F.array(*map(F.lit, columns))
-    pairs = [F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in combinations(range(len(columns)), 2)]
-    rows = df.select(F.array(*[F.col(c).cast("double") for c in columns]).alias("v"), F.inline(F.array(*pairs)))
-    x, y = F.col("x"), F.col("y")
-    deviations = F.stddev_samp(F.when(y.isNotNull(), x)) * F.stddev_samp(F.when(x.isNotNull(), y))
-    r = F.nanvl(F.try_divide(F.covar_samp("x", "y"), deviations), F.lit(None).cast("double"))
-    return (
-        rows.select("i", "j", F.get("v", "i").alias("x"), F.get("v", "j").alias("y"))
-        .groupBy("i", "j").agg(r.alias("r"))
-        .select(F.get(names, F.col("i")).alias("a"), F.get(names, F.col("j")).alias("b"), "r")
-    )
+    present; a constant column gives null.
+
+    Five sums per pair are products of the matrix of values, its squares and its mask of present values: one product per batch, one
+    small array per task, whatever the number of rows. Values are taken from their column's mean, which keeps the sums
+    exact enough to be subtracted.
+    """
+    d = len(columns)
+    rows = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
+    centre = rows.agg(*[F.coalesce(F.avg(c), F.lit(0.0)).alias(c) for c in rows.columns]).first()
+    shift = np.array([centre[c] if np.isfinite(centre[c]) else 0.0 for c in rows.columns])
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = np.zeros((4, d, d))
+        with np.errstate(invalid="ignore", over="ignore"):
+            for batch in batches:
+                there = np.stack([c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns], 1).astype(float)
+                x = np.stack([c.fill_null(0.0).to_numpy(zero_copy_only=False) for c in batch.columns], 1) - shift
+                x[there == 0] = 0.0
+                whole += np.stack([there.T @ there, x.T @ there, (x**2).T @ there, x.T @ x])
+        yield pa.RecordBatch.from_arrays([pa.array([whole.ravel()], pa.list_(pa.float64()))], ["sums"])
+
+    found = rows.mapInArrow(sums, "sums array<double>").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums")).first()["sums"]
+    table = []
+    n, first, square, product = np.array(found if found else [0.0] * (4 * d * d)).reshape(4, d, d)
+    for i, j in combinations(range(d), 2):
+        table.append((columns[i], columns[j], _pearson(n[i, j], first[i, j], first[j, i], square[i, j], square[j, i], product[i, j])))
+    return df.sparkSession.createDataFrame(table, "a string, b string, r double")
+
+
+def _pearson(n: float, x: float, y: float, xx: float, yy: float, xy: float) -> float | None:
+    """From sums over the rows of a pair. A spread that rounding alone could make counts as none."""
+    if n < 2 or not np.isfinite([x, y, xx, yy, xy]).all():
+        return None
+    vx, vy = xx - x * x / n, yy - y * y / n
+    if vx <= 1e-13 * xx or vy <= 1e-13 * yy:
+        return None
+    return float((xy - x * y / n) / np.sqrt(vx * vy))
 
 
 def pair_density(df: DataFrame, columns: list[str], bins: int = 10) -> DataFrame:

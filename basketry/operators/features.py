@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketry.functions.columns import days_to_reference
@@ -30,50 +32,61 @@ def extract_customers(lines: DataFrame, customers: DataFrame) -> DataFrame:
     return lines.join(customers.select("CustomerID").distinct(), "CustomerID", "left_semi")
 
 
+def first_products(lines: DataFrame) -> DataFrame:
+    """Number of distinct descriptions (null counts as one) in each customer's first basket.
+
+    A description is in the first basket if the customer first bought it on the customer's first date, so
+    three aggregates with map-side combine do: no distinct count over all baskets, no join of lines.
+    """
+    since = lines.groupBy("CustomerID", "Description").agg(F.min("InvoiceDate").alias("since"))
+    per_date = since.groupBy("CustomerID", "since").agg(F.count(F.lit(1)).alias("n"))
+    return per_date.groupBy("CustomerID").agg(F.min_by("n", "since").alias("Product_nb"))
+
+
+_FIRST = [c for c in FIRST_BASKET_COLUMNS if c != "Product_nb"]
+
+
 def first_basket_features(lines: DataFrame) -> DataFrame:
     """One row per customer: Month, Is_UK, Product_nb and the measures of the earliest basket."""
-    table = baskets(lines, with_products=True)
-    return table.groupBy("CustomerID").agg(
-        F.month(F.min("InvoiceDate")).alias("Month"),
-        *[F.min_by(c, "InvoiceDate").alias(c) for c in FIRST_BASKET_COLUMNS],
+    first = baskets(lines).groupBy("CustomerID").agg(
+        F.month(F.min("InvoiceDate")).alias("Month"), *[F.min_by(c, "InvoiceDate").alias(c) for c in _FIRST]
     )
+    return first.join(first_products(lines), "CustomerID").select("CustomerID", "Month", *FIRST_BASKET_COLUMNS)
 
 
 def horizon_features(lines: DataFrame, horizons: Sequence[int], ref) -> DataFrame:
     """Features of every customer at every horizon, key (``horizon``, ``CustomerID``), in one pass.
 
-    The lines are reduced to baskets once. Each customer then gets, from one aggregate, the first
-    basket and one frequency / amount / last date per horizon (conditional aggregates, so no row is
-    multiplied before the shuffle); the horizons become rows at the end.
+    The lines are reduced to baskets once. A basket goes to the first horizon that contains it, one aggregate sums up
+    each (customer, first horizon), and the horizons of a customer are running totals over those few
+    rows. The width of the aggregates does not depend on the number of horizons.
     """
-    timeline = basket_timeline(baskets(lines, with_products=True))
-    inside = [F.col("Dist_first_trans") < h for h in horizons]
-    per_customer = timeline.groupBy("CustomerID").agg(
-        F.min("InvoiceDate").alias("_first"),
-        *[F.min_by(c, "InvoiceDate").alias(c) for c in FIRST_BASKET_COLUMNS],
-        *[F.count_if(hit).alias(f"_n_{i}") for i, hit in enumerate(inside)],
-        *[
-            F.coalesce(F.sum(F.when(hit, F.col("AmountSum"))), F.lit(0.0)).alias(f"_amount_{i}")
-            for i, hit in enumerate(inside)
-        ],
-        *[F.max(F.when(hit, F.col("InvoiceDate"))).alias(f"_last_{i}") for i, hit in enumerate(inside)],
+    steps = sorted(set(horizons))
+    timeline = basket_timeline(baskets(lines))
+    past = reduce(add, [(F.col("Dist_first_trans") >= h).cast("int") for h in steps])
+    by_step = timeline.groupBy("CustomerID", past.alias("step")).agg(
+        F.min("InvoiceDate").alias("from"), *[F.min_by(c, "InvoiceDate").alias(c) for c in _FIRST],
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("AmountSum"), F.lit(0.0)).alias("amount"), F.max("InvoiceDate").alias("last"),
+    )
+    per_customer = by_step.groupBy("CustomerID").agg(
+        F.min("from").alias("_first"), *[F.min_by(c, "from").alias(c) for c in _FIRST],
+        F.sort_array(F.collect_list(F.struct("step", "n", "amount", "last"))).alias("_steps"),  # at most one per horizon
     )
     latency = days_to_reference(F.col("_first"), ref)
-    steps = [
-        F.struct(
-            F.lit(h).alias("horizon"),
-            F.col(f"_n_{i}").alias("Frequency"),
-            (latency - days_to_reference(F.col(f"_last_{i}"), ref)).alias("Periode"),
-            F.col(f"_amount_{i}").alias("TotalAmount"),
+
+    def upto(h: Column) -> Column:
+        reached = F.filter("_steps", lambda s: s["step"] <= h["i"])
+        total = lambda name, zero: F.aggregate(reached, F.lit(zero).cast("bigint" if name == "n" else "double"), lambda sum_, s: sum_ + s[name])
+        return F.struct(
+            h["h"].alias("horizon"), total("n", 0).alias("Frequency"), total("amount", 0.0).alias("TotalAmount"),
+            F.array_max(F.transform(reached, lambda s: s["last"])).alias("_last"),
         )
-        for i, h in enumerate(horizons)
-    ]
-    return per_customer.select(
-        "CustomerID",
-        F.month("_first").alias("Month"),
-        *FIRST_BASKET_COLUMNS,
-        F.inline(F.array(*steps)),
-    ).select("horizon", "CustomerID", "Month", *HORIZON_COLUMNS)
+
+    wanted = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(steps.index(h)).alias("i")) for h in horizons])
+    rows = per_customer.select(
+        "CustomerID", F.month("_first").alias("Month"), *_FIRST, latency.alias("_latency"), F.inline(F.transform(wanted, upto))
+    ).withColumn("Periode", F.col("_latency") - days_to_reference(F.col("_last"), ref))
+    return rows.join(first_products(lines), "CustomerID").select("horizon", "CustomerID", "Month", *HORIZON_COLUMNS)
 
 
 def assemble_features(features: DataFrame, customers: DataFrame) -> DataFrame:

@@ -1,28 +1,36 @@
 """Exact interpolated quantiles without a global sort.
 
 The built-in ``percentile`` keeps every distinct value of a column in one aggregation buffer,
-which cannot grow to a large table. Here a wanted rank is closed in by histograms: the range of a
-column is cut into equal bins, one aggregate counts them, and the bin that holds the rank becomes the
-next range, from its smallest to its largest value. Both ends of a range fall into different bins,
-so every round leaves a smaller range and the search always ends, on any data. Counts stay
-on the executors; the driver sees at most two bins per quantile and round.
+which cannot grow to a large table. Here one pass builds a KLL sketch per column, whose rank bounds
+enclose each wanted quantile; a second pass counts the values below each bracket and keeps those inside, as
+distinct values with their counts. The exact rank is then found among what was kept: by sorting it if it is
+small, else by histograms of the kept table, which narrow the bracket round by round. The input is read twice.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from itertools import accumulate
 from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from basketry.materialize import stored
+
+SKETCH_K = 2_000
+#: Several times the rank error of a sketch of that size, as a share of the rows.
+RANK_MARGIN = 0.005
 BINS = 4_096
+#: Distinct values that are sorted on the driver.
+SORTED_VALUES = 100_000
 
 
 @dataclass
 class _Target:
-    """One quantile: its two ranks within the rows of ``column`` from ``lo`` to ``hi``."""
+    """One quantile: the ranks of its two neighbours among the values from ``lo`` to ``hi``."""
 
     column: str
     p: float
@@ -37,7 +45,7 @@ class _Target:
 
 
 def exact_quantiles(
-    df: DataFrame, wanted: Mapping[str, Sequence[float]], bins: int = BINS
+    df: DataFrame, wanted: Mapping[str, Sequence[float]], margin: float = RANK_MARGIN, bins: int = BINS, sorted_values: int = SORTED_VALUES
 ) -> dict[tuple[str, float], float | None]:
     """``{(column, p): value}`` with linear interpolation between neighbouring order statistics.
 
@@ -45,38 +53,87 @@ def exact_quantiles(
     """
     columns = list(wanted)
     values = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns])
-    ends = values.agg(
-        *[f(c).alias(f"{k}_{i}") for i, c in enumerate(columns) for k, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
-    ).first()
-    result: dict[tuple[str, float], float | None] = {}
-    open_: list[_Target] = []
-    for i, c in enumerate(columns):
-        n, lo, hi = ends[f"n_{i}"], ends[f"lo_{i}"], ends[f"hi_{i}"]
-        for p in wanted[c]:
-            if not n:
-                result[c, p] = None
-            elif lo == hi:
-                result[c, p] = lo
-            else:
-                at = (n - 1) * p
-                open_.append(_Target(c, p, floor(at), ceil(at), at - floor(at), lo, hi))
-    while open_:
-        found = _bins_of_ranks(values, open_, bins)
-        still = []
-        for i, t in enumerate(open_):
-            low, high = found[i, "low"], found[i, "high"]
-            if low["bin"] != high["bin"]:
-                result[t.column, t.p] = t.value(low["hi"], high["lo"])
-            elif low["lo"] == low["hi"]:
-                result[t.column, t.p] = low["lo"]
-            else:
-                t.low, t.high = t.low - low["before"], t.high - low["before"]
-                t.lo, t.hi = low["lo"], low["hi"]
-                still.append(t)
-        open_ = still
+    targets, result = _brackets(values, wanted, margin)
+    if targets:
+        kept = _kept(values, targets)
+        found = _found(kept, targets, bins, sorted_values)
+        missed = [t for i, t in enumerate(targets) if found[i] is None]
+        if missed:  # a sketch beyond its error bound: take the whole range
+            ends = values.agg(*[f(t.column).alias(f"{k}{i}") for i, t in enumerate(missed) for k, f in (("lo", F.min), ("hi", F.max))]).first()
+            for i, t in enumerate(missed):
+                t.lo, t.hi = ends[f"lo{i}"], ends[f"hi{i}"]
+            again = _found(_kept(values, missed), missed, bins, sorted_values)
+            found.update({targets.index(t): again[i] for i, t in enumerate(missed)})
+        result |= {(t.column, t.p): found[i] for i, t in enumerate(targets)}
     return result
 
 
+def _brackets(values: DataFrame, wanted: Mapping[str, Sequence[float]], margin: float) -> tuple[list[_Target], dict]:
+    """The first pass: a range of values for every quantile; those that are decided by it go to the result."""
+    parts = []
+    for i, c in enumerate(wanted):
+        parts += [F.count(c).alias(f"n_{i}"), F.min(c).alias(f"lo_{i}"), F.max(c).alias(f"hi_{i}"), F.kll_sketch_agg_double(c, SKETCH_K).alias(f"s_{i}")]
+    ends = values.agg(*parts)
+    bounds = []
+    for i, c in enumerate(wanted):
+        for j, p in enumerate(wanted[c]):
+            for side, rank in (("b", p - margin), ("t", p + margin)):
+                if 0 < rank < 1:
+                    bounds.append(F.when(F.col(f"n_{i}") > 0, F.kll_sketch_get_quantile_double(f"s_{i}", F.lit(float(rank)))).alias(f"{side}_{i}_{j}"))
+    row = ends.select(*[f"{k}_{i}" for i in range(len(wanted)) for k in ("n", "lo", "hi")], *bounds).first().asDict()
+    targets, result = [], {}
+    for i, c in enumerate(wanted):
+        n, lo, hi = row[f"n_{i}"], row[f"lo_{i}"], row[f"hi_{i}"]
+        for j, p in enumerate(wanted[c]):
+            if not n or lo == hi:
+                result[c, p] = lo if n else None
+                continue
+            at = (n - 1) * p
+            targets.append(_Target(c, p, floor(at), ceil(at), at - floor(at), row.get(f"b_{i}_{j}", lo), row.get(f"t_{i}_{j}", hi)))
+    return targets, result
+
+
+def _kept(values: DataFrame, targets: list[_Target]) -> DataFrame:
+    """The second pass: ``target, x, n`` for the distinct values inside each bracket; a null ``x`` counts those below it."""
+    entries = []
+    for i, t in enumerate(targets):
+        x = F.col(t.column)
+        inside = F.when(x >= F.lit(t.lo), x)
+        entries.append(F.when(x <= F.lit(t.hi), F.struct(F.lit(i).alias("target"), inside.alias("x"))))
+    rows = values.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    return stored(rows.groupBy("target", "x").agg(F.count(F.lit(1)).alias("n")), "bracket")
+
+
+def _found(kept: DataFrame, targets: list[_Target], bins: int, sorted_values: int) -> dict[int, float | None]:
+    """The quantiles from what the brackets kept; None where a bracket does not hold its ranks."""
+    sums = kept.groupBy("target").agg(
+        F.coalesce(F.sum(F.when(F.col("x").isNull(), F.col("n"))), F.lit(0)).alias("below"),
+        F.coalesce(F.sum(F.when(F.col("x").isNotNull(), F.col("n"))), F.lit(0)).alias("inside"), F.count("x").alias("distinct"),
+    ).collect()  # one row per target
+    sizes = {r["target"]: r for r in sums}
+    out: dict[int, float | None] = {}
+    small, large = [], []
+    for i, t in enumerate(targets):
+        r = sizes.get(i)
+        if r is None or t.low < r["below"] or t.high >= r["below"] + r["inside"]:
+            out[i] = None
+            continue
+        t.low, t.high = t.low - r["below"], t.high - r["below"]
+        (small if r["distinct"] <= sorted_values // len(targets) else large).append(i)
+    while large:
+        large = [i for i in large if (got := _narrowed(kept, targets[i], i, bins)) is None or out.update({i: got})]
+    if small:
+        rows: dict[int, list] = {i: [] for i in small}
+        for r in kept.where(F.col("target").isin(small) & F.col("x").isNotNull()).collect():  # bounded by sorted_values
+            rows[r["target"]].append((r["x"], r["n"]))
+        for i, own in rows.items():
+            own.sort()
+            upto = list(accumulate(n for _, n in own))
+            low, high = (own[bisect_right(upto, rank)][0] for rank in (targets[i].low, targets[i].high))
+            out[i] = targets[i].value(low, high)
+    return out
+
+
 def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
     """The number of the bin, rising with ``x``; infinite values have bins of their own."""
     inside = F.floor((x / 2 - F.lit(lo) / 2) / (F.lit(hi) / 2 - F.lit(lo) / 2) * bins)
@@ -86,28 +143,22 @@ def _bin(x: Column, lo: float, hi: float, bins: int) -> Column:
     )
 
 
-def _bins_of_ranks(values: DataFrame, targets: list[_Target], bins: int) -> dict:
-    """For every target the bins that hold its lower and upper rank: ``bin, before, lo, hi``."""
-    ranges = list(dict.fromkeys((t.column, t.lo, t.hi) for t in targets))
-    entries = []
-    for i, (c, lo, hi) in enumerate(ranges):
-        x = F.col(c)
-        # Infinite ends say nothing about the width of a bin.
-        low, high = max(lo, -1.7e308), min(hi, 1.7e308)
-        inside = x.between(F.lit(lo), F.lit(hi))
-        entries.append(F.when(inside, F.struct(F.lit(i).alias("range"), _bin(x, low, high, bins).alias("bin"), x.alias("x"))))
-    counted = (
-        values.select(F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
-        .groupBy("range", "bin")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-    )
-    order = Window.partitionBy("range").orderBy("bin")  # at most bins + 2 rows
-    counted = counted.withColumn("before", F.sum("n").over(order) - F.col("n"))
-    marks = []
-    for i, t in enumerate(targets):
-        for side, rank in (("low", t.low), ("high", t.high)):
-            hit = (F.col("range") == ranges.index((t.column, t.lo, t.hi))) & (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
-            marks.append(F.when(hit, F.struct(F.lit(i).alias("target"), F.lit(side).alias("side"))))
-    wanted = F.filter(F.array(*marks), lambda m: m.isNotNull())
-    rows = counted.select(F.inline(wanted), "bin", "before", "lo", "hi").collect()
-    return {(r["target"], r["side"]): r for r in rows}
+def _narrowed(kept: DataFrame, t: _Target, number: int, bins: int) -> float | None:
+    """One histogram round over the kept values of a target: the quantile if the ranks fall into bins of one value or
+    into different bins, else a narrower range for the next round. Both ends of a range are in different
+    bins, so every round leaves a smaller range and the search always ends."""
+    x = F.col("x")
+    # Infinite ends say nothing about the width of a bin.
+    low_end, high_end = max(t.lo, -1.7e308), min(t.hi, 1.7e308)
+    inside = kept.where((F.col("target") == number) & x.between(F.lit(t.lo), F.lit(t.hi)))
+    counted = inside.groupBy(_bin(x, low_end, high_end, bins).alias("bin")).agg(F.sum("n").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+    counted = counted.withColumn("before", F.sum("n").over(Window.orderBy("bin")) - F.col("n"))  # at most bins + 2 rows
+    hit = lambda rank: (F.col("before") <= rank) & (F.col("before") + F.col("n") > rank)
+    rows = sorted(counted.where(hit(t.low) | hit(t.high)).collect(), key=lambda r: r["bin"])
+    if len(rows) == 2:
+        return t.value(rows[0]["hi"], rows[1]["lo"])
+    only = rows[0]
+    if only["lo"] == only["hi"]:
+        return only["lo"]
+    t.low, t.high, t.lo, t.hi = t.low - only["before"], t.high - only["before"], only["lo"], only["hi"]
+    return None

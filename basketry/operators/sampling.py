@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,21 +13,22 @@ from basketry.schema import SEED
 
 
 def stratified_split(
-    df: DataFrame, id_col: str, label: str = "Label", test_size: float = 0.3, seed: int = SEED
+    df: DataFrame, id_col: str, label: str = "Label", test_size: float = 0.3, seed: int = SEED, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``is_test``: exactly ``round(test_size * n)`` random rows of every class."""
-    sizes = df.groupBy(label).agg(F.round(F.count(F.lit(1)) * F.lit(test_size)).alias("_tests"))
-    ranked = random_rank(df, id_col, seed, [label])
-    return ranked.join(sizes, label).withColumn("is_test", F.col("rank") <= F.col("_tests")).drop(
+    """Add ``is_test``: exactly ``round(test_size * n)`` random rows of every class (of every part ``by``)."""
+    group = [*by, label]
+    sizes = df.groupBy(*group).agg(F.round(F.count(F.lit(1)) * F.lit(test_size)).alias("_tests"))
+    ranked = random_rank(df, id_col, seed, group)
+    return ranked.join(sizes, group).withColumn("is_test", F.col("rank") <= F.col("_tests")).drop(
         "rank", "_tests"
     )
 
 
 def stratified_folds(
-    df: DataFrame, id_col: str, label: str = "Label", folds: int = 5, seed: int = SEED
+    df: DataFrame, id_col: str, label: str = "Label", folds: int = 5, seed: int = SEED, by: Sequence[str] = ()
 ) -> DataFrame:
-    """Add ``fold`` 0..folds-1, dealt out in random order within every class."""
-    ranked = random_rank(df, id_col, seed, [label])
+    """Add ``fold`` 0..folds-1, dealt out in random order within every class (of every part ``by``)."""
+    ranked = random_rank(df, id_col, seed, [*by, label])
     return ranked.withColumn("fold", (F.col("rank") % folds).cast("int")).drop("rank")
 
 

@@ -31,7 +31,7 @@ def kept_customers(lines: DataFrame, ref) -> DataFrame:
 
 
 def segment_customers(
-    raw: DataFrame, ref=None, home: str = HOME_COUNTRY, k: int = 5, restarts: int = 10,
+    raw: DataFrame, ref=None, home: str = HOME_COUNTRY, k: int = 5, restarts: int = 300,
     seed: int = SEED, max_iter: int = 100,
 ) -> SegmentedCustomers:
     """Clean, trim, build the customer table and cluster it. ``ref`` defaults to the last day of

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from basketry.operators import classifiers as cf
 from basketry.operators import clustering as ct
 from basketry.operators import evaluation as ev
+from basketry.operators import kmeans as km
 from basketry.operators import neighbours as nb
-from basketry.operators.scaling import Scaler
 
 
 @pytest.fixture(scope="module")
@@ -46,6 +46,27 @@ def test_neighbours_match_brute_force(spark, frame, points, p, chunk, pivots):
         assert [i for _, i in rows] == want
 
 
+def test_training_rows_go_only_to_cells_that_can_need_them(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.uniform(-100, 100, (12, 3))
+    rows = [(i, i % 3, [*map(float, centres[i % 12] + rng.standard_normal(3))]) for i in range(1200)]
+    train = spark.createDataFrame(rows, "id bigint, label int, vec array<double>")
+    queries = spark.createDataFrame([(5000 + i, v) for i, _, v in rows[:600]], "id bigint, vec array<double>")
+    plan, _, _ = nb.cell_plan(train, queries, 5, chunk_rows=50, pivots=24)
+    pairs = sum(len(own) for own in plan.meets.values())
+    assert sum(n for n, _ in plan.rows.values()) == 1200 and sum(n for n, _ in plan.queries.values()) == 600
+    assert pairs < 0.5 * len(plan.rows) * len(plan.queries)
+    # Every query chunk would get every row without the bounds of the cells.
+    assert plan.sent_rows == sum(plan.rows[t][0] * plan.query_parts(q) for q, own in plan.meets.items() for t in own)
+    assert plan.sent_rows < 0.5 * 1200 * 600 / 50
+    got = nb.nearest(train, queries, 5, chunk_rows=50, pivots=24).collect()
+    x = np.array([v for _, _, v in rows])
+    for q in range(0, 600, 37):
+        d = np.sqrt(((x - x[q]) ** 2).sum(1))
+        want = sorted(range(1200), key=lambda i: (d[i], i))[:5]
+        assert [i for _, i in sorted((r.rank, r.id) for r in got if r.query_id == 5000 + q)] == want
+
+
 def test_a_neighbour_at_distance_zero_decides(spark):
     train = spark.createDataFrame([(1, 2, [0.0]), (2, 1, [0.1]), (3, 1, [0.1])], "id bigint, label int, vec array<double>")
     q = spark.createDataFrame([(9, [0.0])], "id bigint, vec array<double>")
@@ -75,6 +96,46 @@ def test_silhouette_matches_the_built_in(frame):
     assert ct.silhouette(frame, "vec", "label").first().score == pytest.approx(built_in)
 
 
+def test_euclidean_silhouette_matches_all_pairs(spark, frame, points):
+    x, y = np.array([p[2] for p in points]), np.array([p[1] for p in points])
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    score = []
+    for i in range(len(x)):
+        a = d[i, y == y[i]].sum() / ((y == y[i]).sum() - 1)
+        b = min(d[i, y == c].mean() for c in set(y.tolist()) - {int(y[i])})
+        score.append((b - a) / max(a, b))
+    assert ct.euclidean_silhouette(frame, "vec", "label", block_rows=64).first().score == pytest.approx(np.mean(score))
+    with pytest.raises(ValueError):
+        ct.euclidean_silhouette(frame, "vec", "label", most_rows=399)
+    alone = spark.createDataFrame([(0, [0.0]), (0, [1.0]), (1, [9.0])], "label int, vec array<double>")
+    assert ct.euclidean_silhouette(alone, "vec", "label").first().score == pytest.approx((8 / 9 + 7 / 8) / 3)
+    assert ct.euclidean_silhouette(alone.limit(0), "vec", "label").first().score is None
+
+
+def test_runs_side_by_side_equal_single_runs(spark, frame, points):
+    x = np.array([p[2] for p in points])
+    blocks = km.pack_rows(frame)
+    starts = km.start_centres(blocks, [2, 3, 5, 5], [1, 1, 1, 2])
+    assert [len(s) for s in starts] == [2, 3, 5, 5] and not np.array_equal(starts[2], starts[3])
+    together = km.run_kmeans(blocks, starts)
+    for start, run in zip(starts, together, strict=True):
+        alone = km.run_kmeans(blocks, [start])[0]
+        assert np.allclose(alone.centres, run.centres) and alone.cost == pytest.approx(run.cost) and alone.passes == run.passes
+        centres, moved = start.copy(), 1.0
+        while moved > km.TOLERANCE:
+            own = ((x[:, None] - centres) ** 2).sum(2).argmin(1)
+            new = np.array([x[own == c].mean(0) if (own == c).any() else centres[c] for c in range(len(centres))])
+            moved, centres = np.sqrt(((new - centres) ** 2).sum(1)).max(), new
+        assert np.allclose(centres, run.centres) and run.cost == pytest.approx(((x[:, None] - centres) ** 2).sum(2).min(1).sum())
+    scores = km.clustering_scores(blocks, {i: r.centres for i, r in enumerate(together)})
+    for i, r in enumerate(together):
+        labelled = ct.assign_nearest(frame, "vec", dict(enumerate(r.centres.tolist())))
+        assert scores[i][0] == pytest.approx(ct.silhouette(labelled, "vec", "centre").first().score)
+        assert scores[i][1] == pytest.approx(ct.calinski_harabasz(labelled, "vec", "centre").first().score)
+    few = km.pack_rows(spark.createDataFrame([([1.0],), ([1.0],), ([2.0],)], "vec array<double>"))
+    assert len(km.best_runs(few, [5], 2)[5].centres) == 2 and km.best_runs(few, [5], 2)[5].cost == 0
+
+
 def test_segments_are_numbered_by_falling_amount(spark):
     rng = random.Random(1)
     rows = [(i, float(10 * (i % 4) + rng.random()), float(rng.random())) for i in range(200)]
@@ -87,12 +148,12 @@ def test_segments_are_numbered_by_falling_amount(spark):
     assert tree.depth <= 3 and rules.where(F.col("rule").contains("Amount")).count() > 0
 
 
-def test_vote_beats_chance_and_survives_reload(spark, frame, tmp_path):
-    data = frame.withColumn("label", F.col("label").cast("double")).withColumn("features", array_to_vector("vec"))
+def test_vote_beats_chance(spark, frame):
+    data = frame.withColumn("label", F.col("label").cast("double"))
     grids = {
         "gbt": [{"learning_rate": 0.1, "n_estimators": 3, "max_depth": 2}],
-        "lr": [{"C": c, "penalty": "l2", "max_iter": 20} for c in (0.01, 1.0)],
-        "svm": [{"C": 1.0, "max_iter": 20}],
+        "lr": [{"C": c, "penalty": "l2"} for c in (0.01, 1.0)],
+        "svm": [{"C": 1.0}],
     }
     vote, scores = cf.fit_vote(data, grids, folds=3)
     assert scores.count() == 2
@@ -100,8 +161,3 @@ def test_vote_beats_chance_and_survives_reload(spark, frame, tmp_path):
     members = ["pred_gbt", "pred_lr", "pred_svm"]
     assert out.where(~F.col("prediction").isin(*[F.col(m) for m in members])).count() == 0
     assert ev.accuracy(out, "label").first().accuracy > 0.9
-    cf.save_bundle(spark, str(tmp_path), 180, Scaler({"x": (1.0, 2.0)}), vote)
-    scaler, again = cf.load_bundle(spark, str(tmp_path), 180)
-    assert scaler.stats == {"x": (1.0, 2.0)}
-    keep = ["id", *members, "prediction"]
-    assert sorted(map(tuple, again.transform(data).select(*keep).collect())) == sorted(map(tuple, out.select(*keep).collect()))
