@@ -17,7 +17,8 @@ from basketry.materialize import stored
 #: Bound on the documents the scorer is fitted on.
 TRAIN_ROWS = 20_000
 FEATURE_BITS = 14
-EPOCHS = 12
+#: Updates of the scorer at least, and epochs at most; between them it stops once its loss settles.
+LEAST_UPDATES, MOST_EPOCHS, SETTLED = 600, 400, 1e-3
 LEAST_WORDS = 8
 SEED = 8
 
@@ -117,9 +118,10 @@ def fit_labellers(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -
     return posterior
 
 
-def fit_scorer(rows: list[tuple[bytes, bytes, float]], epochs: int = EPOCHS) -> np.ndarray:
+def fit_scorer(rows: list[tuple[bytes, bytes, float]]) -> np.ndarray:
     """Logistic regression on hashed features and soft labels; the last weight is the intercept. Adagrad
-    over fixed batches, so the result repeats."""
+    over fixed batches, so the result repeats. A small corpus gives few batches an epoch and so gets more epochs: they
+    end after ``LEAST_UPDATES``, when the loss of an epoch has settled."""
     weights = np.zeros((1 << FEATURE_BITS) + 1)
     if not rows:
         weights[-1] = 1.0
@@ -129,17 +131,23 @@ def fit_scorer(rows: list[tuple[bytes, bytes, float]], epochs: int = EPOCHS) ->
     value = [np.r_[np.frombuffer(r[1], np.float32), 0.3] for r in rows]
     power = np.full(len(weights), 1e-8)
     rng = np.random.default_rng(SEED)
-    for _ in range(epochs):
-        order = rng.permutation(len(rows))
+    updates, before = 0, np.inf
+    for _ in range(MOST_EPOCHS):
+        order, loss = rng.permutation(len(rows)), 0.0
         for lo in range(0, len(order), 128):
             pick = order[lo : lo + 128]
             a, v = np.concatenate([at[i] for i in pick]), np.concatenate([value[i] for i in pick])
             own = np.repeat(np.arange(len(pick)), [len(at[i]) for i in pick])
-            guess = 1 / (1 + np.exp(-np.bincount(own, weights[a] * v, len(pick))))
-            error = guess - target[pick]
+            margin = np.bincount(own, weights[a] * v, len(pick))
+            loss += float((np.logaddexp(0, margin) - target[pick] * margin).sum())
+            error = 1 / (1 + np.exp(-margin)) - target[pick]
             slope = np.bincount(a, error[own] * v, len(weights)) / len(pick) + 1e-7 * weights
             power += slope**2
             weights -= 0.3 * slope / np.sqrt(power)
+            updates += 1
+        if updates >= LEAST_UPDATES and loss > before * (1 - SETTLED):
+            break
+        before = loss
     return weights
 
 

@@ -50,6 +50,14 @@ def test_quality_agrees_with_given_labels(spark):
     assert right >= 0.95 * scored.count()
 
 
+def test_quality_drops_bad_documents_of_a_larger_table(spark):
+    folder = FOLDER.replace("0.001", "0.01")
+    labels = spark.read.parquet(f"{folder}/labels.parquet")
+    counts = {(r["quality"], r["kept"]): r["count"] for r in QUERIES["op8_weak_label_quality"](spark, folder).join(labels, "doc_id").groupBy("quality", "kept").count().collect()}
+    assert counts.get((0, False), 0) >= 0.95 * (counts.get((0, False), 0) + counts.get((0, True), 0)) > 0
+    assert counts.get((1, True), 0) >= 0.98 * (counts.get((1, False), 0) + counts.get((1, True), 0))
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     columns = docs.columns
