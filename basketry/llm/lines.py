@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketry.llm.common import SPACES, fresh, hash_pair, lower_ascii, whole_text
-from basketry.materialize import stored
+from basketry.materialize import scratch_path, stored
 
 MIN_CHARS = 1
 MIN_DOCS = 10
@@ -31,42 +33,72 @@ def line_hashes(text: Column, min_chars: int) -> Column:
 
 
 class LineRuns:
-    """How many documents hold each line, kept as sorted runs in levels.
+    """How many documents hold each line, kept as sorted runs in levels, and the lines that have become common.
 
-    A batch adds one run to level 0. When a level holds ``fanout`` runs they are merged into one run
-    of the next level, so n batches leave about ``fanout * log(n)`` runs and every count is
-    rewritten once per level. Runs are parquet in the shared folder, sorted by hash.
+    A run is a table of ``h1, h2, docs``, cut into buckets by hash and sorted inside them. A new batch is shuffled to the
+    same buckets once and merge-joined with every run where it lies: lines known to be common leave by an anti-join, the
+    others add up their earlier counts. Those that reach ``min_docs`` go to a small run of common lines, the rest become a run
+    of level 0. When a level holds ``fanout`` runs they are merged into one run of the next level, so n batches
+    leave about ``fanout * log(n)`` runs and every count is rewritten once per level. Stored runs are never shuffled.
     """
 
-    def __init__(self, spark: SparkSession, fanout: int = FANOUT):
-        self.spark, self.fanout = spark, fanout
+    def __init__(self, spark: SparkSession, min_docs: int = MIN_DOCS, fanout: int = FANOUT, buckets: int | None = None):
+        self.spark, self.min_docs, self.fanout = spark, min_docs, fanout
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.levels: list[list[DataFrame]] = []
+        self.crossed: list[DataFrame] = []
+
+    def _run(self, rows: DataFrame) -> DataFrame:
+        name = f"line_run_{uuid4().hex}"
+        rows.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").option("path", scratch_path(self.spark, "run")).saveAsTable(name)
+        return self.spark.table(name)
+
+    def _uncommon(self, rows: DataFrame) -> DataFrame:
+        for run in self.crossed:
+            rows = rows.join(run, ["h1", "h2"], "left_anti")
+        return rows
+
+    def with_earlier(self, counts: DataFrame) -> DataFrame:
+        """A batch's ``h1, h2, docs`` that are not common yet, with ``total``: their documents in the runs and the batch."""
+        rows, total = self._uncommon(counts), F.col("docs")
+        for i, run in enumerate(r for level in self.levels for r in level):
+            rows = rows.join(run.withColumnRenamed("docs", f"docs_{i}"), ["h1", "h2"], "left")
+            total = total + F.coalesce(f"docs_{i}", F.lit(0))
+        return rows.select("h1", "h2", "docs", total.alias("total"))
 
     def add(self, counts: DataFrame) -> None:
-        """Take in ``h1, h2, docs`` of one batch and compact the levels that are full."""
-        run = stored(counts.sortWithinPartitions("h1", "h2"), "run")
-        level = 0
-        while True:
-            if level == len(self.levels):
-                self.levels.append([])
-            self.levels[level].append(run)
-            if len(self.levels[level]) < self.fanout:
-                return
-            run = stored(_merged(self.levels[level]).sortWithinPartitions("h1", "h2"), "run")
+        """Take in ``h1, h2, docs`` of one batch (a row per line) and compact the levels that are full."""
+        met = self._run(self.with_earlier(counts))
+        common = met.where(F.col("total") >= self.min_docs).select("h1", "h2")
+        self._push(0, met.where(F.col("total") < self.min_docs).select("h1", "h2", "docs"))
+        self.crossed.append(self._run(common))
+        if len(self.crossed) >= self.fanout:
+            self.crossed = [self._run(_united(self.crossed))]
+
+    def _push(self, level: int, run: DataFrame) -> None:
+        if level == len(self.levels):
+            self.levels.append([])
+        self.levels[level].append(run)
+        if len(self.levels[level]) >= self.fanout:
+            merged = _united(self.levels[level]).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"))
             self.levels[level] = []
-            level += 1
+            self._push(level + 1, self._run(self._uncommon(merged)))
+
+    def common(self) -> DataFrame | None:
+        """``h1, h2`` of the lines found in at least ``min_docs`` documents so far; None before the first batch."""
+        return _united(self.crossed) if self.crossed else None
 
     def counts(self) -> DataFrame | None:
-        """``h1, h2, docs`` over all batches so far; None before the first."""
+        """``h1, h2, docs`` of the other lines."""
         runs = [r for level in self.levels for r in level]
-        return _merged(runs) if runs else None
+        return self._uncommon(_united(runs).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"))) if runs else None
 
 
-def _merged(runs: list[DataFrame]) -> DataFrame:
-    merged = runs[0]
+def _united(runs: list[DataFrame]) -> DataFrame:
+    united = runs[0]
     for r in runs[1:]:
-        merged = merged.unionByName(r)
-    return merged.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"))
+        united = united.unionByName(r)
+    return united
 
 
 def batch_lines(docs: DataFrame, min_chars: int = MIN_CHARS, batches: int = BATCHES) -> DataFrame:
@@ -91,9 +123,9 @@ def drop_common_lines(
 ) -> DataFrame:
     """``docs`` with ``text`` less the lines found in at least ``min_docs`` documents, ``n_lines`` and ``n_dropped``.
 
-    The rows come in ``batches``. Each adds a run of its line counts; the merged runs say which lines
-    are common, and every row loses those. ``runs`` may hold earlier batches, which then count as
-    well. Rows with common lines are joined with just the hashes of these; a very common line is
+    The rows come in ``batches``. Each meets the runs of the batches before it and adds its own; the lines that became
+    common on the way are lost by every row. ``runs`` may hold earlier batches, which then count as
+    well (its ``min_docs`` applies). Rows with common lines are joined with just the hashes of these; a very common line is
     spread over ``salts`` keys, and counts are added up before they are shuffled.
 
     Null or empty text is one empty line, whose key is too short to be dropped, and comes back
@@ -101,12 +133,12 @@ def drop_common_lines(
     counts once for it. A document whose lines all go keeps an empty text. Rows with a null doc_id
     are handled like any other. Empty input gives an empty result.
     """
-    runs = LineRuns(docs.sparkSession, fanout) if runs is None else runs
+    runs = LineRuns(docs.sparkSession, min_docs, fanout) if runs is None else runs
     lines = batch_lines(docs, min_chars, batches)
     for b in range(batches):
         runs.add(lines.where(F.col("batch") == b).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs")))
     salt = F.pmod(F.xxhash64("doc_id", "h1"), F.lit(salts))
-    common = runs.counts().where(F.col("docs") >= min_docs).select(
+    common = runs.common().select(
         "h1", "h2", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))).alias("salt")
     )
     gone_id, gone_hashes, all_parts, kept_parts = fresh(docs, "gone_id", "gone", "parts", "kept_parts")

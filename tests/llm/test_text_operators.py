@@ -321,15 +321,43 @@ def test_line_dedup_matches_brute_force(spark):
 
 
 def test_line_runs_compact_in_levels(spark):
-    runs = lines.LineRuns(spark, fanout=2)
+    runs = lines.LineRuns(spark, min_docs=4, fanout=2, buckets=4)
     for i in range(5):
-        runs.add(spark.createDataFrame([(1, 1, 1), (2, i, 1)], "h1 long, h2 long, docs long"))
+        runs.add(spark.createDataFrame([(1, 1, 1), (2, i, 1), (3, 3, 3 if i == 2 else 1)], "h1 long, h2 long, docs long"))
     assert [len(level) for level in runs.levels] == [1, 0, 1]
-    assert {(r["h1"], r["h2"]): r["docs"] for r in runs.counts().collect()} == {(1, 1): 5} | {(2, i): 1 for i in range(5)}
-    later = lines.drop_common_lines(table(spark, [(1, "a\nb", "s")]), min_docs=2, runs=lines.LineRuns(spark))
+    assert {(r["h1"], r["h2"]) for r in runs.common().collect()} == {(1, 1), (3, 3)}
+    assert {(r["h1"], r["h2"]): r["docs"] for r in runs.counts().collect()} == {(2, i): 1 for i in range(5)}
+    later = lines.drop_common_lines(table(spark, [(1, "a\nb", "s")]), min_docs=2, runs=lines.LineRuns(spark, 2))
     assert later.first()["n_dropped"] == 0
 
 
+def test_stored_runs_are_not_shuffled(spark):
+    runs = lines.LineRuns(spark, min_docs=3, fanout=3, buckets=8)
+    batch = lambda i: spark.createDataFrame([(h, h, 1) for h in range(i, 200 + i)], "h1 long, h2 long, docs long")
+    for i in range(2):
+        runs.add(batch(i))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        counts = batch(2).groupBy("h1", "h2").agg(F.sum("docs").alias("docs"))
+        plan = runs.with_earlier(counts)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("SortMergeJoin") == 4 and plan.count("Bucketed: true") == 4
+
+
+def test_many_batches_equal_one(spark):
+    rng = random.Random(21)
+    rows = [(i, "\n".join(rng.choice(["a", "B", "c", "d", f"only {i}"]) for _ in range(4)), "s") for i in range(60)]
+    one, many = [
+        sorted(map(tuple, lines.drop_common_lines(table(spark, rows), min_docs=25, batches=n, fanout=2).select("doc_id", "text", "n_dropped").collect())) for n in (1, 7)
+    ]
+    assert one == many and any(r[2] for r in one)
+    runs = lines.LineRuns(spark, min_docs=25, fanout=2)
+    lines.drop_common_lines(table(spark, rows[:30]), batches=2, runs=runs)
+    later = lines.drop_common_lines(table(spark, rows[30:]), batches=2, runs=runs).select("doc_id", "text", "n_dropped")
+    assert sorted(map(tuple, later.collect())) == [r for r in one if r[0] >= 30]
+
+
 # 8 ----------------------------------------------------------------------------------------------
 
 
