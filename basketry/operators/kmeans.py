@@ -71,25 +71,39 @@ def _rows(found: dict[int, np.ndarray]) -> pa.RecordBatch:
 
 
 def _assigned(centres: dict[int, np.ndarray]):
-    """Per run: the cost, and for every centre the number, the sum and the sum of squared norms of its rows."""
+    """Per run: the cost, and for every centre the number, the sum and the sum of squared norms of its rows. Runs with as
+    many centres are worked off together."""
+    alike: dict[int, list[int]] = {}
+    for i, c in centres.items():
+        alike.setdefault(len(c), []).append(i)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for _, x in _vectors(batches):
             norms = (x**2).sum(1)
-            for i, c in centres.items():
-                d = _distances(x, c)
-                own = d.argmin(1)
-                k = len(c)
-                parts = [np.bincount(own, minlength=k), *(np.bincount(own, x[:, j], k) for j in range(x.shape[1])), np.bincount(own, norms, k)]
-                sums = np.r_[d[np.arange(len(x)), own].sum(), np.stack(parts, 1).ravel()]
-                total[i] = total[i] + sums if i in total else sums
+            for k, ids in alike.items():
+                runs = len(ids)
+                d = _distances(x, np.concatenate([centres[i] for i in ids])).reshape(len(x), runs, k)
+                own = d.argmin(2)
+                cost = np.take_along_axis(d, own[:, :, None], 2)[:, :, 0].sum(0)
+                flat = (own + np.arange(runs) * k).ravel()
+                parts = [np.bincount(flat, minlength=runs * k)]
+                parts += [np.bincount(flat, np.repeat(v, runs), runs * k) for v in (*x.T, norms)]
+                sums = np.c_[cost, np.stack(parts, 1).reshape(runs, -1)]
+                for i, row in zip(ids, sums, strict=True):
+                    total[i] = total[i] + row if i in total else row
         if total:
             yield _rows(total)
 
     return run
 
 
+def _least(x: np.ndarray, candidates: dict[int, np.ndarray]) -> np.ndarray:
+    """Squared distance of every row to the nearest candidate of every run."""
+    starts = np.r_[0, np.cumsum([len(c) for c in candidates.values()])[:-1]]
+    return np.minimum.reduceat(_distances(x, np.concatenate(list(candidates.values()))), starts, axis=1)
+
+
 def _summed(blocks: DataFrame, task) -> dict[int, np.ndarray]:
     found = blocks.mapInArrow(task, _SUMS).groupBy("run").agg(vector_to_array(Summarizer.sum(array_to_vector("sums"))).alias("sums"))
     return {r["run"]: np.array(r["sums"]) for r in found.collect()}  # one row per run
@@ -127,8 +141,8 @@ def _picked(candidates: dict[int, np.ndarray], costs: dict[int, float], wanted:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, x in _vectors(batches):
             found = {}
-            for i, c in candidates.items():
-                chance = 2 * wanted[i] * _distances(x, c).min(1) / costs[i] if costs[i] > 0 else np.zeros(len(x))
+            for i, near in zip(candidates, _least(x, candidates).T, strict=True):
+                chance = 2 * wanted[i] * near / costs[i] if costs[i] > 0 else np.zeros(len(x))
                 drawn = np.random.default_rng([seeds[i], round_, block]).random(len(x)) < chance
                 if drawn.any():
                     found[i] = x[drawn].ravel()
@@ -140,11 +154,10 @@ def _picked(candidates: dict[int, np.ndarray], costs: dict[int, float], wanted:
 
 def _costs(candidates: dict[int, np.ndarray]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = dict.fromkeys(candidates, 0.0)
+        total = np.zeros(len(candidates))
         for _, x in _vectors(batches):
-            for i, c in candidates.items():
-                total[i] += _distances(x, c).min(1).sum()
-        yield _rows({i: np.array([v]) for i, v in total.items()})
+            total += _least(x, candidates).sum(0)
+        yield _rows({i: np.array([v]) for i, v in zip(candidates, total, strict=True)})
 
     return run
 
