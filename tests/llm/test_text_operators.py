@@ -286,6 +286,42 @@ def test_language_model(spark):
     assert pitman_yor.score_documents(table(spark, [])).count() == 0
 
 
+def test_tables_are_drawn_from_their_distribution():
+    """One restaurant with a fixed parent: all numbers of tables, each with the number of ways to seat the customers."""
+    discount, strength, counts, base = pitman_yor.DISCOUNT, pitman_yor.STRENGTH, np.array([4, 3, 2]), np.array([0.3, 0.05, 0.2])
+    ways = np.zeros((5, 5))
+    ways[0, 0] = 1
+    for c in range(4):
+        for t in range(1, c + 2):
+            ways[c + 1, t] = ways[c, t - 1] + (c - discount * t) * ways[c, t]
+    total, mean = 0.0, np.zeros(3)
+    for t in [(i, j, k) for i in range(1, 5) for j in range(1, 4) for k in range(1, 3)]:
+        w = np.prod([strength + discount * n for n in range(sum(t))]) * np.prod([ways[c, n] * h**n for c, n, h in zip(counts, t, base)])
+        total, mean = total + w, mean + w * np.array(t)
+    rng = np.random.default_rng(3)
+    tables, seen = np.ones(3), np.zeros(3)
+    for _ in range(20_000):
+        for i in range(3):
+            tables[i] = pitman_yor.draw_tables(counts[[i]], np.array([tables.sum() - tables[i]]), base[[i]], discount, strength, rng)[0]
+        seen += tables
+    assert np.allclose(seen / 20_000, mean / total, rtol=0.02)
+
+
+def test_frequent_words_move_their_tables():
+    rng = np.random.default_rng(4)
+    counts, base = np.array([10_000, 1_000, 2]), np.array([0.5, 0.3, 0.1])
+    chains = 1_000
+    single = np.zeros((chains, 3))
+    for i in range(3):
+        for n in range(counts[i]):
+            new = (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * single.sum(1)) * base[i]
+            single[:, i] += rng.random(chains) * (new + n - pitman_yor.DISCOUNT * single[:, i]) < new
+    blocks = np.zeros((chains, 3))
+    for i in range(3):
+        blocks[:, i] = pitman_yor.draw_tables(np.full(chains, counts[i]), blocks.sum(1), np.full(chains, base[i]), pitman_yor.DISCOUNT, pitman_yor.STRENGTH, rng)
+    assert np.allclose(blocks.mean(0), single.mean(0), rtol=0.1) and (blocks.mean(0)[:2] > 20).all()
+
+
 def test_seating_predictions_are_a_distribution():
     rng = np.random.default_rng(7)
     word, context = np.divmod(np.arange(12), 3)
