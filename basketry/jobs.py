@@ -5,6 +5,7 @@ With the repository installed or zipped (``zip -r basketry.zip basketry``):
     spark-submit --py-files basketry.zip basketry/jobs.py segment --lines L --out O
     python -m basketry.jobs sweep          --customers O/customers --out O/sweep
     python -m basketry.jobs profile        --customers O/customers --out O/profile
+    python -m basketry.jobs prepare        --lines O/lines --customers O/customers --out O/prepared
     python -m basketry.jobs first-purchase --lines O/lines --customers O/customers --out F
     python -m basketry.jobs baselines      --lines O/lines --customers O/customers --out B
     python -m basketry.jobs horizons       --lines O/lines --customers O/customers --ref 2011-12-09 --out H
@@ -22,17 +23,20 @@ from datetime import date
 from pyspark.sql import SparkSession
 
 from basketry.materialize import checkpointed
+from basketry.operators.baskets import prepare_lines
 from basketry.operators.classifiers import KNN_GRID, save_bundle
 from basketry.operators.cleaning import HOME_COUNTRY
-from basketry.operators.clustering import k_sweep, segment_means
-from basketry.operators.features import assemble_features, first_basket_features
+from basketry.operators.clustering import k_sweep, segment_means, segment_population, segment_sums
+from basketry.operators.features import assemble_features, first_basket_features, labelled_only
 from basketry.plans.prediction import compare_baselines, first_purchase_model, horizon_model, horizon_sweep
 from basketry.plans.scoring import batch_score
 from basketry.plans.segmentation import segment_customers
-from basketry.schema import CLEAN_LINES, CLUSTER_COLUMNS, CUSTOMERS, FIRST_BASKET_COLUMNS, HORIZON_COLUMNS, LINES, MONTH_COLUMNS, SEED
+from basketry.schema import (
+    CLEAN_LINES, CUSTOMER_NUMERIC, CUSTOMERS, FIRST_BASKET_COLUMNS, HORIZON_COLUMNS, LINES, MONTH_COLUMNS, PREPARED_LINES, SEED,
+)
 from basketry.sources.files import read_table, write_table
 
-JOBS = ("segment", "sweep", "profile", "first-purchase", "baselines", "horizons", "train", "score")
+JOBS = ("segment", "sweep", "profile", "prepare", "first-purchase", "baselines", "horizons", "train", "score")
 
 
 def arguments(argv=None) -> argparse.Namespace:
@@ -79,9 +83,15 @@ def run(spark: SparkSession, args: argparse.Namespace, grids=None, knn_grid=tupl
         write_table(k_sweep(customers, range(2, args.most + 1), restarts=args.restarts, seed=args.seed), args.out)
         return
     if args.job == "profile":
-        write_table(segment_means(customers, CLUSTER_COLUMNS), args.out)
+        write_table(segment_population(customers), f"{args.out}/population")
+        write_table(segment_sums(customers, CUSTOMER_NUMERIC), f"{args.out}/sums")
+        write_table(segment_means(customers, CUSTOMER_NUMERIC), f"{args.out}/means")
         return
     lines = read_table(spark, args.lines, CLEAN_LINES)
+    if args.job == "prepare":
+        prepared = prepare_lines(labelled_only(lines, customers)).select(*[f.name for f in PREPARED_LINES.fields])
+        write_table(prepared, args.out, partition_by="Year_Month")
+        return
     options = {"grids": grids, "seed": args.seed}
     if args.job == "first-purchase":
         write_table(first_purchase_model(lines, customers, **options).predictions, args.out)

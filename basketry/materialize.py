@@ -10,11 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: the session's ``spark.checkpoint.dir``.
 
-    A session without that setting uses a folder below its warehouse, which executors share too.
+    A session on one machine without that setting uses a folder below its warehouse. On a cluster the setting is
+    required, since a default path would be on every machine's own disk.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured is None and context.getCheckpointDir() is None:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(configured)

@@ -147,6 +147,8 @@ def _narrowed(kept: DataFrame, t: _Target, number: int, bins: int) -> float | No
     """One histogram round over the kept values of a target: the quantile if the ranks fall into bins of one value or
     into different bins, else a narrower range for the next round. Both ends of a range are in different
     bins, so every round leaves a smaller range and the search always ends."""
+    if t.lo == t.hi:
+        return t.lo
     x = F.col("x")
     # Infinite ends say nothing about the width of a bin.
     low_end, high_end = max(t.lo, -1.7e308), min(t.hi, 1.7e308)

@@ -12,8 +12,8 @@ from basketry.sources.retail import retail_lines
 FOLDER = "/root/testdata/sf0.001"
 GRIDS = {
     "gbt": [{"learning_rate": 0.1, "n_estimators": 2, "max_depth": 2}],
-    "lr": [{"C": 1.0, "penalty": "l2", "max_iter": 10}],
-    "svm": [{"C": 1.0, "max_iter": 10}],
+    "lr": [{"C": 1.0, "penalty": "l2"}],
+    "svm": [{"C": 1.0, "penalty": "l1"}],
 }
 
 
@@ -24,6 +24,13 @@ def test_segment_train_score(spark, tmp_path):
     call("segment", "--lines", f"{tmp_path}/raw", "--out", f"{tmp_path}/out", "--home", "NATION_7", "--k", "3", "--restarts", "2")
     shared = ["--lines", f"{tmp_path}/out/lines", "--customers", f"{tmp_path}/out/customers",
               "--ref", "2001-08-01", "--models", f"{tmp_path}/models"]
+    call("profile", *shared[2:4], "--out", f"{tmp_path}/profile")
+    sizes = {r["Label"]: r["customers"] for r in spark.read.parquet(f"{tmp_path}/profile/population").collect()}
+    means, sums = [{r["Label"]: r["Amount"] for r in spark.read.parquet(f"{tmp_path}/profile/{n}").collect()} for n in ("means", "sums")]
+    assert sizes.keys() == means.keys() and all(sums[k] == pytest.approx(means[k] * n) for k, n in sizes.items())
+    call("prepare", *shared[:4], "--out", f"{tmp_path}/prepared")
+    prepared = spark.read.parquet(f"{tmp_path}/prepared")
+    assert prepared.where("Occurence >= 1 AND Label IS NOT NULL").count() == prepared.count() > 0
     call("train", *shared)
     call("score", *shared, "--out", f"{tmp_path}/scored", "--classes", "3", "--sample", "50")
     predictions = spark.read.parquet(f"{tmp_path}/scored/predictions")

@@ -25,27 +25,29 @@ def frame(spark, values):
     return spark.createDataFrame(values, "id bigint, x double, g int").repartition(6)
 
 
-@pytest.mark.parametrize("bins", [4_096, 10, 2])
-def test_quantiles_are_exact(frame, values, bins):
+@pytest.mark.parametrize("margin,bins,most", [(0.005, 4_096, 100_000), (0.2, 10, 0), (0.9, 2, 0), (1e-9, 4_096, 100_000)])
+def test_quantiles_are_exact(frame, values, margin, bins, most):
+    """By sorting what the brackets kept, by histograms of it, and when a bracket misses its ranks."""
     ps = [0.0, 0.25, 0.5, 0.99, 1.0]
-    got = exact_quantiles(frame, {"x": ps, "g": [0.99]}, bins)
+    got = exact_quantiles(frame, {"x": ps, "g": [0.99]}, margin, bins, most)
     xs = [v[1] for v in values]
     for p in ps:
         assert got["x", p] == pytest.approx(np.quantile(xs, p), abs=1e-9)
     assert got["g", 0.99] == 4
 
 
-def test_quantiles_end_on_every_column(spark):
+@pytest.mark.parametrize("most", [100_000, 0])
+def test_quantiles_end_on_every_column(spark, most):
     half = [(float(i % 2), float(49 + (i >= 500)), 2.0 ** (i - 500), 1e-300 * i, float("nan") if i % 3 else 1.0 * i, None, 5.0) for i in range(1000)]
     df = spark.createDataFrame(half, "half double, border double, wide double, tiny double, some double, none double, same double")
     ps = [0.0, 0.4995, 0.5, 0.99, 1.0]
-    got = exact_quantiles(df, {c: ps for c in df.columns}, 10)
+    got = exact_quantiles(df, {c: ps for c in df.columns}, bins=10, sorted_values=most)
     for i, c in enumerate(df.columns):
         xs = [r[i] for r in half if r[i] is not None and r[i] == r[i]]
         for p in ps:
             assert got[c, p] == (pytest.approx(np.quantile(xs, p), rel=1e-9) if xs else None)
     ends = spark.createDataFrame([(float("-inf"),), (1.0,), (2.0,), (3.0,), (float("inf"),)], "x double")
-    assert [exact_quantiles(ends, {"x": [p]})["x", p] for p in (0.0, 0.25, 0.5, 0.75, 1.0)] == [float("-inf"), 1, 2, 3, float("inf")]
+    assert [exact_quantiles(ends, {"x": [p]}, sorted_values=most)["x", p] for p in (0.0, 0.25, 0.5, 0.75, 1.0)] == [float("-inf"), 1, 2, 3, float("inf")]
 
 
 def test_quantile_of_nothing(spark):
@@ -105,6 +107,15 @@ def test_correlation_matches_numpy(frame, values):
     assert r == pytest.approx(np.corrcoef([v[1] for v in values], [v[2] for v in values])[0, 1])
 
 
+def test_correlations_keep_apart_far_from_zero(spark):
+    rng = random.Random(9)
+    rows = [(1e9 + rng.random(), 1e9 + rng.random(), None if i % 4 else 1e9, float("nan") if i == 7 else 1.0 * i) for i in range(400)]
+    got = {(r.a, r.b): r.r for r in ex.correlations(spark.createDataFrame(rows, "x double, y double, z double, n double"), ["x", "y", "z", "n"]).collect()}
+    x, y = np.array([r[0] for r in rows]) - 1e9, np.array([r[1] for r in rows]) - 1e9
+    assert got["x", "y"] == pytest.approx(np.corrcoef(x, y)[0, 1], abs=1e-6)
+    assert got["x", "z"] is None and got["x", "n"] is None
+
+
 def test_distinct_counts_null_once(spark):
     df = spark.createDataFrame([("a",), (None,), (None,), ("b",)], "c string")
     assert ex.distinct_values(df, "c").first().n == 3
