@@ -759,7 +759,7 @@ def knn_grid_search(s: Stage):
 
 @query("first_purchase_model", *FIRST_LINES)
 def first_purchase_model(s: Stage):
-    return prediction.first_purchase_model(s.lines, _segments(s), grids=cf.GRIDS).predictions
+    return prediction.first_purchase_model(s.lines, _segments(s), grids=LINEAR_GRIDS).predictions
 
 
 @query("horizon_features", *FIRST_LINES)
