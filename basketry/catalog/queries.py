@@ -696,6 +696,8 @@ SETTINGS = {
 }
 #: Whole linear grids; boosted trees at one setting (their own grid is a query of its own).
 LINEAR_GRIDS = SETTINGS | {"lr": cf.LOGISTIC_GRID, "svm": cf.SVM_GRID}
+#: For all horizons together: the whole logistic grid, the other voters at one setting.
+HORIZON_GRIDS = SETTINGS | {"lr": cf.LOGISTIC_GRID}
 
 
 def _segments(s: Stage) -> DataFrame:
@@ -776,7 +778,7 @@ def horizon_sweep_features(s: Stage):
 @query("horizon_sweep", *FIRST_LINES)
 def horizon_sweep(s: Stage):
     return prediction.horizon_sweep(
-        s.lines, _segments(s), s.ref, classes=range(5), grids=LINEAR_GRIDS
+        s.lines, _segments(s), s.ref, classes=range(5), grids=HORIZON_GRIDS
     )
 
 
