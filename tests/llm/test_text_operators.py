@@ -308,18 +308,15 @@ def test_tables_are_drawn_from_their_distribution():
 
 
 def test_frequent_words_move_their_tables():
-    rng = np.random.default_rng(4)
-    counts, base = np.array([10_000, 1_000, 2]), np.array([0.5, 0.3, 0.1])
-    chains = 1_000
-    single = np.zeros((chains, 3))
-    for i in range(3):
-        for n in range(counts[i]):
-            new = (pitman_yor.STRENGTH + pitman_yor.DISCOUNT * single.sum(1)) * base[i]
-            single[:, i] += rng.random(chains) * (new + n - pitman_yor.DISCOUNT * single[:, i]) < new
-    blocks = np.zeros((chains, 3))
-    for i in range(3):
-        blocks[:, i] = pitman_yor.draw_tables(np.full(chains, counts[i]), blocks.sum(1), np.full(chains, base[i]), pitman_yor.DISCOUNT, pitman_yor.STRENGTH, rng)
-    assert np.allclose(blocks.mean(0), single.mean(0), rtol=0.1) and (blocks.mean(0)[:2] > 20).all()
+    """Against the exact distribution for many customers, given the tables of the other dishes."""
+    rng, d, strength = np.random.default_rng(4), pitman_yor.DISCOUNT, pitman_yor.STRENGTH
+    ways = pitman_yor._stirling(d, 2_000)
+    for c, others, base in ((50, 3, 0.3), (300, 0, 0.5), (2_000, 50, 0.3), (2_000, 10, 0.01)):
+        t = np.arange(1, c + 1)
+        weight = np.cumsum(np.log(strength + d * (others + t - 1))) + ways[c, 1 : c + 1] + t * np.log(base)
+        weight = np.exp(weight - weight.max())
+        drawn = pitman_yor.draw_tables(np.full(4_000, c), np.full(4_000, float(others)), np.full(4_000, base), d, strength, rng)
+        assert isclose(drawn.mean(), (weight * t).sum() / weight.sum(), rel_tol=0.1) and (others == 0 or base < 0.1 or drawn.mean() > 2)
 
 
 def test_seating_predictions_are_a_distribution():
