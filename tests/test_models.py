@@ -161,3 +161,29 @@ def test_vote_beats_chance(spark, frame):
     members = ["pred_gbt", "pred_lr", "pred_svm"]
     assert out.where(~F.col("prediction").isin(*[F.col(m) for m in members])).count() == 0
     assert ev.accuracy(out, "label").first().accuracy > 0.9
+
+
+def test_assignment_holds_few_distances_at_a_time():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((2048, 6))
+    x[:64] = 0.0
+    centres = {i: rng.standard_normal((5, 6)) for i in range(500)}
+    centres[7] = np.vstack([np.ones(6), -np.ones(6), rng.standard_normal((3, 6)) + 9])  # the rows at 0 lie between the first two
+    block = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([2048], pa.int32()), pa.array([x.tobytes()])], ["id", "n", "x"])
+    tracemalloc.start()
+    got = {r["run"]: np.array(r["sums"]) for b in km._assigned(centres)(iter([block])) for r in b.to_pylist()}
+    near = km._least(x, centres)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for i in (0, 7, 499):
+        d = ((x[:, None] - centres[i]) ** 2).sum(2)
+        own = d.argmin(1)
+        assert np.allclose(near[:, i], d.min(1)) and got[i][0] == pytest.approx(d.min(1).sum())
+        moments = got[i][1:].reshape(5, -1)
+        assert moments[:, 0].tolist() == np.bincount(own, minlength=5).tolist()
+        assert np.allclose(moments[:, 1:-1], [x[own == c].sum(0) for c in range(5)])
+    assert peak < 40e6  # all distances of the block would be 41 MB in one copy, and two were held
