@@ -187,3 +187,26 @@ def test_assignment_holds_few_distances_at_a_time():
         assert moments[:, 0].tolist() == np.bincount(own, minlength=5).tolist()
         assert np.allclose(moments[:, 1:-1], [x[own == c].sum(0) for c in range(5)])
     assert peak < 40e6  # all distances of the block would be 41 MB in one copy, and two were held
+
+
+@pytest.mark.parametrize("p", [1, 2])
+def test_closest_rows_are_those_of_all_differences(p, monkeypatch):
+    rng = np.random.default_rng(6)
+    a, b = rng.standard_normal((60, 8)), rng.standard_normal((900, 8))
+    b[100:160] = b[7]  # more equal rows than are picked beyond those wanted
+    b[200:260] = np.round(b[200:260])
+    a[3], a[4] = b[7], b[7] + 1e-9
+    d = np.abs(a[:, None] - b).sum(2) if p == 1 else np.sqrt(((a[:, None] - b) ** 2).sum(2))
+    want = d.argsort(1, kind="stable")[:, :5]
+    compared, plain = [], nb._distances
+    monkeypatch.setattr(nb, "_distances", lambda x, y, q: compared.append(len(x) * len(y)) or plain(x, y, q))
+    best, distance = nb._closest(a, b, 5, p)
+    assert np.array_equal(best, want) and np.array_equal(distance, np.take_along_axis(d, want, 1))
+    assert p == 1 or sum(compared) < 0.2 * a.shape[0] * b.shape[0]  # by differences only where rounding could tell
+
+
+def test_distances_by_products_keep_near_rows():
+    rng = np.random.default_rng(8)
+    x, y = rng.standard_normal((300, 16)) + 50, rng.standard_normal((200, 16)) + 50
+    y[:20], y[20:30] = x[:20], x[20:30] + 1e-9
+    assert np.allclose(ct._far(x, y), np.sqrt(((x[:, None] - y) ** 2).sum(2)), rtol=1e-9, atol=0)
