@@ -27,7 +27,7 @@ from basketry.operators.baskets import prepare_lines
 from basketry.operators.classifiers import KNN_GRID, save_bundle
 from basketry.operators.cleaning import HOME_COUNTRY
 from basketry.operators.clustering import k_sweep, segment_means, segment_population, segment_sums
-from basketry.operators.features import assemble_features, first_basket_features, labelled_only
+from basketry.operators.features import assemble_features, first_basket_features
 from basketry.plans.prediction import compare_baselines, first_purchase_model, horizon_model, horizon_sweep
 from basketry.plans.scoring import batch_score
 from basketry.plans.segmentation import segment_customers
@@ -89,7 +89,7 @@ def run(spark: SparkSession, args: argparse.Namespace, grids=None, knn_grid=tupl
         return
     lines = read_table(spark, args.lines, CLEAN_LINES)
     if args.job == "prepare":
-        prepared = prepare_lines(labelled_only(lines, customers)).select(*[f.name for f in PREPARED_LINES.fields])
+        prepared = prepare_lines(lines, customers).select(*[f.name for f in PREPARED_LINES.fields])
         write_table(prepared, args.out, partition_by="Year_Month")
         return
     options = {"grids": grids, "seed": args.seed}

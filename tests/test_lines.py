@@ -158,3 +158,27 @@ def test_csv_is_read_by_name(spark, tmp_path):
     (tmp_path / "f.csv").write_text("InvoiceNo,Quantity\n1,2\n")
     with pytest.raises(ValueError, match="no column"):
         read_table(spark, str(tmp_path / "f.csv"), schema, "csv")
+
+
+def test_lines_of_listed_customers_are_shuffled_once(spark):
+    rows = [(c, f"2020-01-{1 + (3 * i) % 28:02d} 10:00:00", f"p{i}") for c in (1, 2, 3) for i in range(12)]
+    lines = spark.createDataFrame(rows, "CustomerID bigint, t string, Description string").selectExpr(
+        "CustomerID", "cast(t as timestamp_ntz) InvoiceDate", "Description"
+    )
+    segments = spark.createDataFrame([(1, 0), (3, 4), (3, 5), (9, 1)], "CustomerID bigint, Label int")
+    columns = ["CustomerID", "InvoiceDate", "Description", "Label", "Occurence", "Dist_first_trans"]
+    got = bk.prepare_lines(lines, segments).select(*columns)
+    apart = bk.prepare_lines(lines.join(segments, "CustomerID")).select(*columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, apart.collect())) and got.count() == 36
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        # Only the join with the baskets' marks moves the lines: what is below an exchange shows their columns.
+        plan = bk.prepare_lines(lines, segments).select(*columns)._jdf.queryExecution().executedPlan().toString().splitlines()
+        wide = [i for i, x in enumerate(plan) if "Exchange hashpartitioning" in x and "Description" in " ".join(plan[i + 1 : i + 2])]
+        assert len(wide) == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
