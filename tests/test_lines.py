@@ -1,6 +1,6 @@
 """Cleaning, baskets and the customer table on small hand-made lines."""
 
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -94,6 +94,22 @@ def test_horizon_is_strict_and_everything_beyond_it_equals_full_history(history)
         assert rows[10_000, c].Periode == r.Latency - r.Recency
 
 
+def test_horizon_features_send_wide_rows_only_once(history):
+    plan = ft.horizon_features(history, [30, 60], REF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("min_by(UnitPriceMean") == 0  # measures of later baskets are not carried to the customer
+
+
+def test_horizon_features_without_dates_and_with_many_baskets(spark):
+    t = at("2011-01-01 10:00")
+    many = [(str(i), "A", f"p{i % 3}", 1, t + timedelta(days=i), 2.0, 1) for i in range(40)]
+    lines = cl.clean(make(spark, *many, ("x", "A", "q", 1, None, 5.0, 3), ("z", "A", "q", 1, t, 5.0, 3), ("y", "A", "q", 1, None, 5.0, 2)))
+    rows = {(r.horizon, r.CustomerID): r for r in ft.horizon_features(lines, [10, 100], REF).collect()}
+    assert set(rows) == {(10, 1), (100, 1), (10, 3), (100, 3)}
+    assert (rows[100, 3].Frequency, rows[100, 3].TotalAmount, rows[100, 3].Periode, rows[100, 3].AmountSum) == (0, 0.0, None, 5.0)
+    assert (rows[10, 1].Frequency, rows[10, 1].TotalAmount, rows[100, 1].Frequency, rows[100, 1].TotalAmount) == (10, 20.0, 40, 80.0)
+    assert rows[10, 1].Product_nb == 1 and rows[10, 1].AmountSum == 2.0
+
+
 def test_partitioning_and_order_do_not_matter(history):
     once = sorted(map(tuple, customer_table(bk.baskets(history), REF).collect()))
     again = sorted(
