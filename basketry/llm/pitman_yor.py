@@ -36,8 +36,12 @@ CLASS_STRENGTH = 8.0
 SWEEPS, BURN_IN, EVERY = 10, 4, 2
 #: Pairs of a context are drawn in so many blocks a sweep.
 BLOCKS = 8
-#: Numbers of customers beyond 64 for which numbers of tables are drawn.
-COUNTS = np.array([64, 96, 128, 192, 256, 384, 512, 768, 1024])
+#: Dishes with up to so many customers are weighed with listed Stirling numbers, others with integrals over so many points.
+LISTED, POINTS = 1024, 32
+#: Dishes between two of these numbers of customers are weighed together.
+WIDTHS = [1, 2, 3, 4, 5, 6, 8, 10, 12, 16, 20, 24, 32, 40, 48, 64, 96, 128, 192, 256, 384, 512, 768, LISTED]
+#: Weights held at once, and weights beside the middle one that are only rounding.
+CELLS, ROUNDING = 1 << 18, 1e-11
 HELD_OUT = (7, 2)
 SEED = 6
 _LOW = U64(CONTEXTS - 1)
@@ -127,31 +131,124 @@ def _stirling(discount: float, most: int) -> np.ndarray:
     return out
 
 
-_WAYS = {d: _stirling(d, int(COUNTS[-1])) for d in (DISCOUNT, PARENT_DISCOUNT)}
+_WAYS = {d: _stirling(d, LISTED) for d in (DISCOUNT, PARENT_DISCOUNT)}
 
 
-def _exact_tables(c: int, others: np.ndarray, base: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
-    """A draw of the number of tables of ``c`` customers of one dish from its distribution given everything else: ``others``
-    tables in the same restaurant, ``base`` the parent's probability of the dish."""
+def _listed_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
+    """``draw_tables`` for dishes of at most ``LISTED`` customers: weights of all numbers of tables, side by side."""
+    c = int(customers.max())
     t = np.arange(1, c + 1)
     opening = np.cumsum(np.log(strength + discount * (others[:, None] + t - 1)), axis=1)
-    weight = opening + _WAYS[discount][c, 1 : c + 1] + t * np.log(base)[:, None]
+    weight = opening + _WAYS[discount][customers, 1 : c + 1] + t * np.log(base)[:, None]
     upto = np.cumsum(np.exp(weight - weight.max(1, keepdims=True)), axis=1)
     return 1.0 + (upto < (rng.random(len(others)) * upto[:, -1])[:, None]).sum(1)
 
 
+class _Contour:
+    """The weights of numbers of tables of dishes with so many customers that their Stirling numbers are not listed.
+
+    S(c, t) = c! / (d^t t!) [z^c] f^t with f = 1 - (1-z)^d. As an integral along a path of s = -log z, and by parts, the weight
+    of t tables is in proportion to
+
+        (a+1)(a+2)...(a+t-1) / (t-1)! * base^(t-1) * integral of e^((c-1)s) (1-e^-s)^(d-1) f^(t-1) ds,  a = strength/d + others.
+
+    The path crosses the real axis at the saddle point of the sum over all t and bends to the left like its steepest descent, so
+    few points give a row's weights to about 12 digits of the largest one whatever c is.
+    """
+
+    def __init__(self, customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float):
+        d, self.c, self.a, self.base = discount, customers.astype(np.float64), strength / discount + others, base
+        low = np.log(np.log1p((1 - d) / (self.c - 1)))
+        high = np.log(np.maximum(1.0, np.log(4 * (self.a + 2) / (self.c - 1))))
+        for _ in range(24):  # the path need not meet the saddle point to the last digit
+            x = (low + high) / 2
+            z, v, f = self._terms(np.exp(x), d)
+            over = (1 - d) * z / v + (self.a + 1) * base * d * z * v ** (d - 1) / (1 - base * f) > self.c - 1
+            low, high = np.where(over, x, low), np.where(over, high, x)
+        saddle = np.exp((low + high) / 2)
+        z, v, f = self._terms(saddle, d)
+        #: Tables but one: their middle and how far they spread.
+        self.middle = (self.a + 1) * base * f / (1 - base * f)
+        slope = d * z * v ** (d - 1) / f
+        curved = (1 - d) * z / v**2 + self.middle * np.maximum(d * z * v ** (d - 2) * (v + (1 - d) * z) / f - slope**2, 0.0)
+        self.spread = 1 / np.sqrt((1 - base * f) / self.middle + slope**2 / curved)
+        start = np.maximum(saddle, 4 / (self.c - 1))
+        end = np.minimum(np.pi, 9 / np.sqrt(np.where(start > saddle, (1 - d) * (self.c - 1) / start, curved)))
+        y = end[:, None] * np.arange(POINTS + 1) / POINTS
+        bend = np.where(start < 1, 0.25 / start, 0.0)[:, None]
+        s = start[:, None] + 1j * y - bend * y**2
+        log_v, log_v0 = np.log(-np.expm1(-s)), np.log(-np.expm1(-start))[:, None]
+        log_f0 = np.log(-np.expm1(d * log_v0))
+        self.grow = np.log(-np.expm1(d * log_v)) - log_f0
+        self.ahead = (self.c - 1)[:, None] * (s - start[:, None]) + (d - 1) * (log_v - log_v0)
+        self.share = 1 + 2j * bend * y
+        self.share[:, 0] *= 0.5
+        self.share[end >= np.pi, -1] *= 0.5  # the path has come round
+        self.ratio = base * np.exp(log_f0[:, 0])
+
+    @staticmethod
+    def _terms(s: np.ndarray, d: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        v = -np.expm1(-s)
+        return np.exp(-s), v, -np.expm1(d * np.log(v))
+
+    def weights(self, at: np.ndarray, low: np.ndarray, width: int) -> np.ndarray:
+        """Weights of ``low + 1 .. low + width`` tables for the dishes ``at``."""
+        grow = self.grow[at][:, None, :]
+        step = 1 << (width.bit_length() // 2)
+        first = self.share[at] * np.exp(self.ahead[at] + low[:, None] * self.grow[at])
+        sums = (first[:, None, :] * np.exp(np.arange(0, width, step)[:, None] * grow)) @ np.exp(grow.transpose(0, 2, 1) * np.arange(step))
+        t = low[:, None] + np.arange(width)
+        prior = np.zeros(t.shape)
+        prior[:, 1:] = np.cumsum(np.log(self.ratio[at][:, None] * (self.a[at][:, None] + t[:, 1:]) / t[:, 1:]), axis=1)
+        found = np.exp(prior - prior.max(1, keepdims=True)) * sums.real.reshape(len(at), -1)[:, :width]
+        return np.where(t < self.c[at][:, None], np.maximum(found, 0.0), 0.0)
+
+    def around_middle(self, at: np.ndarray, low: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """The weights from the middle out to where they are lost in rounding, and whether ``low`` and ``width`` reach that far."""
+        found, place = self.weights(at, low, width), np.arange(width)
+        middle = np.clip(np.rint(self.middle[at] - low), 0, np.minimum(width, self.c[at] - low) - 1).astype(np.int64)[:, None]
+        lost = found < ROUNDING * np.take_along_axis(found, middle, 1)
+        left = np.where(lost & (place < middle), place, -1).max(1)
+        right = np.where(lost & (place > middle), place, width).min(1)
+        found[(place <= left[:, None]) | (place >= right[:, None])] = 0.0
+        return found, ((left >= 0) | (low == 0)) & ((right < width) | (low + width >= self.c[at]))
+
+
+def _unlisted_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
+    """``draw_tables`` for dishes of any number of customers above ``LISTED``."""
+    contour = _Contour(customers, others, base, discount, strength)
+    tables, chance = np.ones(len(customers)), rng.random(len(customers))
+    todo, reach = np.arange(len(customers)), 7.5
+    while len(todo):
+        off = reach * contour.spread[todo] + 16
+        low = np.maximum(np.floor(contour.middle[todo] - off), 0.0)
+        widths = np.minimum(np.ceil(contour.middle[todo] + off), contour.c[todo] - 1) - low + 1
+        sizes = np.int64(1) << np.ceil(np.log2(widths)).astype(np.int64)
+        again = []
+        for size in np.unique(sizes):
+            alike = np.flatnonzero(sizes == size)
+            for part in np.array_split(alike, -(-len(alike) * size // CELLS)):
+                if len(part):
+                    found, whole = contour.around_middle(todo[part], low[part], int(size))
+                    upto = np.cumsum(found, axis=1)
+                    tables[todo[part]] = low[part] + 1 + (upto < (chance[todo[part]] * upto[:, -1])[:, None]).sum(1)
+                    again.append(todo[part][~whole])
+        todo, reach = np.concatenate(again), reach * 2
+    return tables
+
+
 def draw_tables(customers: np.ndarray, others: np.ndarray, base: np.ndarray, discount: float, strength: float, rng) -> np.ndarray:
     """New numbers of tables for dishes with ``customers`` (at least 1) each: all customers of a dish leave and are seated again given
-    the other dishes. With many customers the distribution hardly depends on their number any more: beyond 64 the next lower one
-    of ``COUNTS`` stands for it."""
+    the other dishes. Every number is drawn from its own distribution given everything else, whatever the number of customers: ``others``
+    tables in the same restaurant, ``base`` the parent's probability of the dish."""
     tables = np.ones(len(customers))
-    alike = np.where(customers <= COUNTS[0], customers, COUNTS[np.searchsorted(COUNTS, customers, side="right") - 1])
-    order = np.argsort(alike, kind="stable")
-    sizes, starts = np.unique(alike[order], return_index=True)
-    for c, lo, hi in zip(sizes, starts, [*starts[1:], len(order)], strict=True):
-        if c > 1:
-            at = order[lo:hi]
-            tables[at] = _exact_tables(int(c), others[at], base[at], discount, strength, rng)
+    order = np.argsort(customers, kind="stable")
+    sizes = customers[order]
+    cuts = [*np.searchsorted(sizes, WIDTHS, side="right"), len(order)]
+    for i, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+        draw, width = (_listed_tables, WIDTHS[i + 1]) if i + 1 < len(WIDTHS) else (_unlisted_tables, 1)
+        for at in np.array_split(order[lo:hi], -(-(hi - lo) * width // CELLS)) if hi > lo else ():
+            tables[at] = draw(customers[at], others[at], base[at], discount, strength, rng)
     return tables
 
 

@@ -319,6 +319,49 @@ def test_frequent_words_move_their_tables():
         assert isclose(drawn.mean(), (weight * t).sum() / weight.sum(), rel_tol=0.1) and (others == 0 or base < 0.1 or drawn.mean() > 2)
 
 
+def test_every_number_of_customers_has_its_own_distribution():
+    """Against the exact distribution, where the next lower of a few numbers of customers gave too few tables."""
+    rng, d, strength, wanted = np.random.default_rng(11), pitman_yor.DISCOUNT, pitman_yor.STRENGTH, (95, 1_023, 1_500, 3_000)
+    now, ways = np.r_[0.0, np.full(max(wanted), -np.inf)], {}
+    for c in range(max(wanted)):
+        t = np.arange(1, c + 2)
+        now[1 : c + 2] = np.logaddexp(now[: c + 1], np.log(np.maximum(c - d * t, 1e-300)) + now[1 : c + 2])
+        now[0] = -np.inf
+        if c + 1 in wanted:
+            ways[c + 1] = now[1 : c + 2].copy()
+    cases = [(c, others, base) for c in wanted for others, base in ((0, 0.3), (0, 0.999), (40, 0.9), (2_000, 0.5), (1e6, 0.01), (1e6, 0.9))]
+    n = 2_000
+    drawn = pitman_yor.draw_tables(*[np.repeat(x, n) for x in zip(*cases, strict=True)], d, strength, rng).reshape(-1, n)
+    for (c, others, base), got in zip(cases, drawn, strict=True):
+        t = np.arange(1, c + 1)
+        weight = np.cumsum(np.log(strength + d * (others + t - 1))) + ways[c] + t * np.log(base)
+        weight = np.exp(weight - weight.max())
+        upto = np.cumsum(weight) / weight.sum()
+        assert got.min() >= 1 and got.max() <= c
+        below = np.searchsorted(np.sort(got), t, side="right") / n
+        assert np.abs(below - upto).max() < 2.2 / np.sqrt(n), (c, others, base)
+        if c > pitman_yor.LISTED:
+            contour = pitman_yor._Contour(np.array([c]), np.array([others]), np.array([base]), d, strength)
+            found, whole = contour.around_middle(np.array([0]), np.zeros(1), c)
+            assert whole[0] and np.abs(found[0] / found.sum() - weight / weight.sum()).sum() < 1e-6
+
+
+def test_tables_of_very_many_customers():
+    """One customer more multiplies the ways as the recursion of the Stirling numbers says, at any size."""
+    at = np.array([0])
+    for d in (pitman_yor.DISCOUNT, pitman_yor.PARENT_DISCOUNT):
+        for c, others, base in ((10**6, 1e5, 0.01), (10**6, 1e7, 0.2), (10**8, 10.0, 0.9)):
+            one, two = (pitman_yor._Contour(np.array([n]), np.array([others]), np.array([base]), d, 1.0) for n in (c, c + 1))
+            low = np.maximum(np.floor(one.middle - 3 * one.spread), 0.0)
+            t = low[0] + 1 + np.arange(100)
+            prior = np.r_[0.0, np.cumsum(np.log(1.0 + d * (others + t[:-1])) + np.log(base))]
+            fewer, more = (np.log(k.weights(at, low, 100)[0]) - prior for k in (one, two))
+            grown = more[1:] - np.logaddexp(fewer[:-1], np.log(c - d * t[1:]) + fewer[1:])
+            assert np.ptp(grown) < 1e-6
+    drawn = pitman_yor.draw_tables(np.full(500, 10**6), np.full(500, 1e5), np.full(500, 0.5), pitman_yor.DISCOUNT, 1.0, np.random.default_rng(1))
+    assert abs(drawn.mean() - 1e5) < 300  # nearly as many as the other dishes have: every second table is theirs
+
+
 def test_seating_predictions_are_a_distribution():
     rng = np.random.default_rng(7)
     word, context = np.divmod(np.arange(12), 3)
