@@ -112,6 +112,22 @@ def test_euclidean_silhouette_matches_all_pairs(spark, frame, points):
     assert ct.euclidean_silhouette(alone.limit(0), "vec", "label").first().score is None
 
 
+def test_euclidean_silhouette_takes_any_number_of_rows_and_copies_no_blocks(spark, monkeypatch):
+    n = 200_001  # the blocks are not worked off here, only planned
+    many = spark.range(n).select(F.array(F.col("id").cast("double")).alias("vec"), (F.col("id") % 2).cast("int").alias("label"))
+    plan = ct.euclidean_silhouette(many, "vec", "label", block_rows=4_096)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in text or "BroadcastNestedLoopJoin" in text  # partitions are read beside each other, not shuffled in copies
+    monkeypatch.setattr(ct, "PAIRED_BYTES", 1_024, raising=False)
+    few = spark.range(300).select(F.array(F.sin("id"), F.cos(F.col("id") * 3)).alias("vec"), (F.col("id") % 3).cast("int").alias("label"))
+    x, y = np.array([[np.sin(i), np.cos(3 * i)] for i in range(300)]), np.arange(300) % 3
+    d = np.sqrt(((x[:, None] - x) ** 2).sum(2))
+    means = np.stack([d[:, y == c].sum(1) / ((y == c).sum() - (y == c)) for c in range(3)], 1)
+    a, b = means[np.arange(300), y], np.where(np.arange(3) == y[:, None], np.inf, means).min(1)
+    got = ct.euclidean_silhouette(few, "vec", "label", block_rows=16).first().score
+    assert got == pytest.approx(((b - a) / np.maximum(a, b)).mean())
+
+
 def test_runs_side_by_side_equal_single_runs(spark, frame, points):
     x = np.array([p[2] for p in points])
     blocks = km.pack_rows(frame)
