@@ -89,6 +89,8 @@ def test_neighbours_are_found_without_shuffled_copies(spark, monkeypatch, p):
         assert np.allclose([v for *_, v in sorted(got[500 + q])], d[want])
     monkeypatch.setattr(nb, "HELD_BYTES", 1 << 20)  # one partition of training rows: ranked as found
     assert {tuple(r) for r in nb.nearest(train, queries, 7, p, chunk_rows=30).collect()} == {tuple(r) for r in found.collect()}
+    twice = nb.nearest(train, queries.union(queries.limit(3)), 7, p, chunk_rows=30)
+    assert twice.count() == 1400 and twice.where("rank > 7").count() == 0  # queries of one id share their neighbours
     assert nb.nearest(train.limit(4), queries.limit(2), 7, p).count() == 8  # fewer rows than wanted
 
 
